@@ -15,13 +15,18 @@ Labeler = Callable[[Sequence[str]], Sequence[str]]
 
 
 def label_with(
-    df: DataFrame, text: str, make_labeler: Callable[[], Labeler], name: str = "label", keep: bool = True
+    df: DataFrame,
+    text: str,
+    make_labeler: Callable[[], Labeler],
+    name: str = "label",
+    columns: Sequence[str] | None = None,
+    keep: bool = True,
 ) -> DataFrame:
     """Label each row yes, no or null by a function that takes a batch of texts.
 
     ``make_labeler`` runs once per task, where it may open a client. Only the text crosses to Python.
     Answers of a costly labeler must not be asked for twice, so by default the labelled rows are
-    written once and read back.
+    written once and read back; ``columns`` names what to keep next to the label.
     """
 
     @F.pandas_udf("string")
@@ -35,7 +40,7 @@ def label_with(
             yield answers
 
     labelled = df.withColumn("_answer", ask.asNondeterministic()(F.col(text)))
-    labelled = labelled.withColumn(name, yes_no(F.col("_answer"))).drop("_answer")
+    labelled = labelled.select(*(columns if columns is not None else df.columns), yes_no(F.col("_answer")).alias(name))
     return materialise(labelled, "labels") if keep else labelled
 
 

@@ -32,9 +32,18 @@ def confusion_matrix(
 
 def binary_prf(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Accuracy, and precision, recall and F1 of class 1; null where a divisor is 0."""
-    cells = confusion_cells(df, label, prediction)
+    return _with_prf(confusion_cells(df, label, prediction)).drop("tp", "fp", "tn", "fn")
+
+
+def label_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """The confusion cells and the scores made of them, in one row."""
+    return _with_prf(confusion_cells(df, label, prediction))
+
+
+def _with_prf(cells: DataFrame) -> DataFrame:
     tp, fp, tn, fn = (F.col(name) for name in ("tp", "fp", "tn", "fn"))
     return cells.select(
+        "*",
         F.try_divide(tp + tn, tp + fp + tn + fn).alias("accuracy"),
         F.try_divide(tp, tp + fp).alias("precision"),
         F.try_divide(tp, tp + fn).alias("recall"),

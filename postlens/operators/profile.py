@@ -102,9 +102,12 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return counts.unpivot([], columns, "column", "n_distinct")
 
 
-def column_types(df: DataFrame) -> DataFrame:
-    """Column names and types. The schema is known without a scan."""
-    return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
+def table_info(df: DataFrame) -> DataFrame:
+    """Type and number of present values of each column, as rows ``(column, type, n_present)``."""
+    types = F.create_map(*[F.lit(text) for pair in df.dtypes for text in pair])
+    counts = df.agg(*[F.count(name).alias(name) for name in df.columns])
+    rows = counts.unpivot([], df.columns, "column", "n_present")
+    return rows.select("column", types[F.col("column")].alias("type"), "n_present")
 
 
 def histogram(df: DataFrame, column: str, width: float) -> DataFrame:

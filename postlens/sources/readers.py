@@ -19,7 +19,7 @@ CORRUPT = "_corrupt_row"
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, glob: str = "*.csv", **options: str
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, glob: str = "*.csv", **options: str
 ) -> DataFrame:
     """All CSV files of a folder (or one file), with quoted newlines and quotes kept inside their row.
 
@@ -30,15 +30,17 @@ def read_csv(
     return reader.csv(path)
 
 
-def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
     """A CSV scan that leaves out rows that do not fit the schema."""
-    return spark.read.options(**CSV_OPTIONS, mode="DROPMALFORMED").schema(schema).csv(path)
+    return spark.read.options(**{**CSV_OPTIONS, **options, "mode": "DROPMALFORMED"}).schema(schema).csv(path)
 
 
-def read_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def read_csv_with_rejects(
+    spark: SparkSession, path: str, schema: T.StructType, **options: str
+) -> tuple[DataFrame, DataFrame]:
     """Rows that fit the schema, and the raw text of those that do not."""
     wide = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    options = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    options = {**CSV_OPTIONS, **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     rows = spark.read.options(**options).schema(wide).csv(path)
     good = rows.filter(F.col(CORRUPT).isNull()).select(*schema.fieldNames())
     # Spark refuses a scan of the corrupt column alone, so the first data column goes along.
