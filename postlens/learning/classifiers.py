@@ -107,10 +107,11 @@ def cross_validate(
 
 def grid_scores(model: CrossValidatorModel, df: DataFrame) -> DataFrame:
     """Mean score of each grid cell, best first; a row per parameter of a cell."""
-    best = max(model.avgMetrics) if model.getEvaluator().isLargerBetter() else min(model.avgMetrics)
+    scores = [float(score) for score in model.avgMetrics]
+    best = max(scores) if model.getEvaluator().isLargerBetter() else min(scores)
     rows = [
-        (cell, param.name, float(value), float(score), score == best)
-        for cell, (values, score) in enumerate(zip(model.getEstimatorParamMaps(), model.avgMetrics))
+        (cell, param.name, float(value), score, score == best)
+        for cell, (values, score) in enumerate(zip(model.getEstimatorParamMaps(), scores))
         for param, value in values.items()
     ]
     schema = "cell int, parameter string, value double, mean_score double, best boolean"

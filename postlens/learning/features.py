@@ -12,6 +12,17 @@ from pyspark.sql import functions as F
 from postlens.functions.stopwords import MODEL_EXTRA, spark_english
 
 
+def hashed_counts(text: str, stopwords: Sequence[str], num_features: int = 10_000) -> Pipeline:
+    """Tokens without stop words, counted into hash buckets."""
+    return Pipeline(
+        stages=[
+            RegexTokenizer(inputCol=text, outputCol="words", pattern="\\W"),
+            StopWordsRemover(inputCol="words", outputCol="filtered", stopWords=list(stopwords)),
+            HashingTF(inputCol="filtered", outputCol="rawFeatures", numFeatures=num_features),
+        ]
+    )
+
+
 def text_vectorizer(
     text: str = "body_cleaned",
     stopwords: Sequence[str] | None = None,
@@ -19,15 +30,9 @@ def text_vectorizer(
     min_doc_freq: int = 5,
 ) -> Pipeline:
     """Unfitted feature stages. Without a list, Spark's English words and the model extras are dropped."""
-    words = list(stopwords) if stopwords is not None else spark_english() + MODEL_EXTRA
-    return Pipeline(
-        stages=[
-            RegexTokenizer(inputCol=text, outputCol="words", pattern="\\W"),
-            StopWordsRemover(inputCol="words", outputCol="filtered", stopWords=words),
-            HashingTF(inputCol="filtered", outputCol="rawFeatures", numFeatures=num_features),
-            IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=min_doc_freq),
-        ]
-    )
+    words = spark_english() + MODEL_EXTRA if stopwords is None else stopwords
+    idf = IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=min_doc_freq)
+    return Pipeline(stages=[*hashed_counts(text, words, num_features).getStages(), idf])
 
 
 def fit_features(train: DataFrame, test: DataFrame, vectorizer: Pipeline) -> tuple[PipelineModel, DataFrame, DataFrame]:

@@ -60,7 +60,7 @@ def score_saved(posts: DataFrame, vectorizer_path: str, model_path: str) -> Data
     return score(posts, load_model(spark, vectorizer_path), load_model(spark, model_path))
 
 
-def ranked_by_probability(scored: DataFrame, n: int = 20, key: str = "comment_id") -> DataFrame:
-    """Flagged rows with the highest probability of class 1."""
-    ranked = scored.withColumn("p_flagged", vector_to_array("probability")[1])
-    return flagged(ranked).orderBy(F.desc("p_flagged"), key).limit(n)
+def ranked_by_probability(scored: DataFrame, n: int = 20, key: str = "comment_id", only_flagged: bool = True) -> DataFrame:
+    """Rows with the highest probability of class 1, by default among the flagged ones."""
+    ranked = (flagged(scored) if only_flagged else scored).withColumn("p_flagged", vector_to_array("probability")[1])
+    return ranked.orderBy(F.desc("p_flagged"), key).limit(n)

@@ -12,7 +12,7 @@ from postlens.operators import profile as pf
 from postlens.operators import reports as rp
 from postlens.operators.joins import distinct_values
 from postlens.plans.registry import query
-from postlens.plans.tables import POSTS_SQL, day_text, hash_sql, posts, table
+from postlens.plans.tables import POSTS_SQL, URL_SQL, day_text, hash_sql, posts, table
 from postlens.sources.readers import flatten_listing, json_field
 
 AUTHOR = 8
@@ -357,6 +357,49 @@ def row_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.row_sanity(arrived).select("event_id", F.col("date").alias("day"))
 
 
+@query("""
+SELECT lpad(CAST(event_id AS VARCHAR), 7, '0') AS comment_id, event_type AS sub_reddit, CAST(value >= 100 AS INTEGER) AS prediction,
+       strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS timestamp_local,
+       strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS day, CAST(hour(ts + INTERVAL 8 HOUR) AS INTEGER) AS hour_local
+FROM events WHERE event_id % 9 <> 0 AND event_id % 17 <> 0 AND year(ts) = 2024""")
+def dashboard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored posts made ready for the dashboard; some lack a prediction or have a broken id."""
+    event = F.col("event_id")
+    scored = table(spark, sf_dir, "events").select(
+        F.when(event % 9 == 0, "broken id").otherwise(F.lpad(event.cast("string"), 7, "0")).alias("comment_id"),
+        F.col("event_type").alias("sub_reddit"),
+        F.when(event % 17 != 0, (F.col("value") >= 100).cast("int")).alias("prediction"),
+        F.col("ts").alias("timestamp"),
+        F.to_date("ts").alias("date"),
+        F.col("props").alias("body"),
+        F.col("event_type").alias("submission"),
+    )
+    return _with_day(cl.dashboard_rows(scored))
+
+
+@query(f"""
+SELECT CAST(event_id AS VARCHAR) AS comment_id, strftime(ts, '%Y-%m-%d') AS day,
+       md5(lower(regexp_replace(event_type || chr(10) || 'http://x.y/' || event_id || ' ' || props, '{URL_SQL}|\n', '', 'g'))) AS body_md5,
+       lower(event_type) AS submission_cleaned
+FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-15' AND DATE '2024-01-20'""")
+def raw_to_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw comments of some days renamed to the working columns and cleaned."""
+    raw = table(spark, sf_dir, "events").select(
+        F.get_json_object("props", "$.k").alias("sub_id"),
+        F.col("event_id").cast("string").alias("id"),
+        F.col("ts").alias("created_utc"),
+        F.col("user_id").cast("string").alias("author"),
+        F.concat("event_type", F.lit("\nhttp://x.y/"), "event_id", F.lit(" "), "props").alias("body"),
+        F.upper("event_type").alias("sub_title"),
+        F.col("event_type").alias("sr"),
+        F.floor("value").cast("int").alias("sub_score"),
+        F.lit(0.5).alias("sub_upvote_ratio"),
+        F.to_date("ts").alias("dt"),
+    )
+    clean = cl.raw_to_clean(raw, "2024-01-15", "2024-01-20")
+    return clean.select("comment_id", day_text("date").alias("day"), F.md5("body_cleaned").alias("body_md5"), "submission_cleaned")
+
+
 @query("""
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-15' AND DATE '2024-01-19'""")

@@ -1 +1,124 @@
+"""Queries that train, tune, save, load and apply classifiers on documents and their labels."""
 
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from postlens.functions.stopwords import MODEL_SHORT
+from postlens.learning import classifiers as cf
+from postlens.learning import features as ft
+from postlens.learning import scoring as sc
+from postlens.operators.cleaning import clean_posts
+from postlens.operators.sampling import hash_split
+from postlens.plans.registry import query
+from postlens.plans.tables import documents, table
+from postlens.session import materialise, scratch_path
+
+TEXT = {"text": "body_cleaned"}
+KEPT = ("doc_id", "label", "features")
+
+
+def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
+    return clean_posts(documents(spark, sf_dir), TEXT).join(labels, "doc_id").select("doc_id", "body_cleaned", "label")
+
+
+def vectorised(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """Train and test features, written once: training reads them many times."""
+    train, test = hash_split(labelled_texts(spark, sf_dir), "doc_id", 80, 42)
+    fitted, train, test = ft.fit_features(train, test, ft.text_vectorizer())
+    return fitted, materialise(train.select(*KEPT), "train"), materialise(test.select(*KEPT), "test")
+
+
+def _train(spark: SparkSession, sf_dir: str, name: str, small: bool = True) -> DataFrame:
+    _, train, test = vectorised(spark, sf_dir)
+    model = cf.make_classifier(name, small=small).fit(train)
+    return cf.evaluate(model.transform(test)).select(F.lit(name).alias("model"), "metric", F.round("value", 6).alias("value"))
+
+
+@query()
+def train_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _train(spark, sf_dir, "logistic_regression")
+
+
+@query()
+def train_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _train(spark, sf_dir, "decision_tree")
+
+
+@query()
+def train_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _train(spark, sf_dir, "random_forest")
+
+
+@query()
+def train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _train(spark, sf_dir, "gradient_boosting")
+
+
+@query()
+def cv_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean score of each cell of the logistic-regression grid over four folds."""
+    _, train, _ = vectorised(spark, sf_dir)
+    return cf.grid_scores(cf.cross_validate(train, "lr", key="doc_id", parallelism=3), train)
+
+
+@query()
+def tree_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, train, _ = vectorised(spark, sf_dir)
+    return cf.feature_importances(cf.make_classifier("dt", small=True).fit(train), train)
+
+
+def _saved_models(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    vectorizer, train, _ = vectorised(spark, sf_dir)
+    paths = scratch_path(spark, "vectorizer"), scratch_path(spark, "model")
+    sc.save_model(vectorizer, paths[0])
+    sc.save_model(cf.make_classifier("lr").fit(train), paths[1])
+    return paths
+
+
+@query()
+def score_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored with models that were saved and loaded again."""
+    posts = clean_posts(documents(spark, sf_dir, "lang"), TEXT).drop("text")
+    return sc.score_saved(posts, *_saved_models(spark, sf_dir)).select("doc_id", "lang", "prediction")
+
+
+@query()
+def ranked_by_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents most likely to be flagged, most likely first."""
+    vectorizer_path, model_path = _saved_models(spark, sf_dir)
+    posts = clean_posts(documents(spark, sf_dir, "lang"), TEXT).drop("text")
+    scored = sc.transform(posts, sc.load_model(spark, vectorizer_path), sc.load_model(spark, model_path))
+    # Few documents are toxic, so the model may flag none at its own threshold.
+    ranked = sc.ranked_by_probability(scored, 20, "doc_id", only_flagged=False)
+    return ranked.select("doc_id", "lang", F.round("p_flagged", 6).alias("p_flagged"))
+
+
+@query("""
+WITH tokens AS (SELECT lang, unnest(string_split_regex(lower(text), '[^A-Za-z0-9_]')) AS token FROM documents),
+kept AS (SELECT lang, count(*) AS n_tokens FROM tokens WHERE token <> '' AND token NOT IN ('is', 'like', 'and', 'the') GROUP BY lang)
+SELECT lang, n_tokens, n_docs FROM kept JOIN (SELECT lang, count(*) AS n_docs FROM documents GROUP BY lang) USING (lang)""")
+def hashed_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashed count vectors summed per language: buckets may mix terms, their total may not change."""
+    rows = documents(spark, sf_dir, "lang")
+    counted = ft.hashed_counts("text", MODEL_SHORT).fit(rows).transform(rows)
+    sums = counted.groupBy("lang").agg(Summarizer.sum(F.col("rawFeatures")).alias("total"), F.count("*").alias("n_docs"))
+    total = F.aggregate(vector_to_array("total"), F.lit(0.0), lambda left, right: left + right)
+    return sums.select("lang", total.cast("long").alias("n_tokens"), "n_docs")
+
+
+@query("""
+SELECT doc_id, md5(string_agg(token, ' ' ORDER BY i)) AS words_md5 FROM (
+  SELECT doc_id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS i FROM (
+    SELECT doc_id, string_split_regex(lower(text), '[^A-Za-z0-9_]') AS tokens FROM documents))
+WHERE token <> '' AND token NOT IN ('is', 'like', 'and', 'the') GROUP BY doc_id""")
+def feature_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the tokenizer and stop-word stages hand to the hashing stage."""
+    rows = documents(spark, sf_dir)
+    kept = ft.hashed_counts("text", MODEL_SHORT).fit(rows).transform(rows).filter(F.size("filtered") > 0)
+    return kept.select("doc_id", F.md5(F.array_join("filtered", " ")).alias("words_md5"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens.operators.cleaning import flagged
+from postlens.operators.joins import union_all
 from postlens.plans.registry import query
 from postlens.plans.tables import POSTS_SQL, day_text, posts, rule_predictions, table
 from postlens.session import scratch_path
@@ -52,7 +53,8 @@ def flagged_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT CASE WHEN event_id % 13 = 0 THEN 'reject' ELSE 'good' END AS kind, count(*) AS n FROM events GROUP BY ALL""")
+SELECT CASE WHEN event_id % 13 = 0 THEN 'reject' ELSE 'good' END AS kind, count(event_id) AS n,
+       CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY ALL""")
 def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with a field too many, put in by rule, are told from good rows."""
     path = scratch_path(spark, "broken-csv")
@@ -62,8 +64,8 @@ def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = T.StructType.fromDDL("event_id long, event_type string, user_id long")
     # The lines written here have no header.
     good, rejects = readers.read_csv_with_rejects(spark, path, schema, header="false")
-    counts = [rows.groupBy(F.lit(kind).alias("kind")).agg(F.count("*").alias("n")) for kind, rows in (("good", good), ("reject", rejects))]
-    return counts[0].unionByName(counts[1])
+    kinds = [rows.select(F.lit(kind).alias("kind"), "event_id") for kind, rows in (("good", good), ("reject", rejects))]
+    return union_all(*kinds).groupBy("kind").agg(F.count("event_id").alias("n"), F.sum("event_id").alias("id_sum"))
 
 
 @query("""

@@ -1 +1,87 @@
+"""Streaming jobs run to the end of the given tables, and what they wrote."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from postlens.functions.values import to_local
+from postlens.learning.classifiers import make_classifier
+from postlens.plans.models import vectorised
+from postlens.plans.registry import query
+from postlens.plans.tables import day_text, table
+from postlens.session import scratch_path
+from postlens.streaming import jobs
+
+
+def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return jobs.comment_stream(spark, sf_dir, table(spark, sf_dir, name).schema, pathGlobFilter=f"{name}.parquet")
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Event time must be a time with zone for the watermark; the session runs in UTC.
+    events = _stream(spark, sf_dir, "events")
+    return events.select(
+        F.col("event_id").alias("comment_id"),
+        F.col("ts").cast("timestamp").alias("dt"),
+        F.col("user_id").alias("author"),
+        F.col("event_type").alias("sub_reddit"),
+        "value",
+    )
+
+
+@query("SELECT event_id AS comment_id, strftime(ts, '%Y-%m-%d %H:%M') AS moment, user_id AS author, event_type AS sub_reddit FROM events")
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments taken from a stream into files."""
+    out, checkpoint = scratch_path(spark, "ingest"), scratch_path(spark, "ingest-progress")
+    jobs.run_to_end(lambda: jobs.write_stream(_event_stream(spark, sf_dir), out, checkpoint, once=True))
+    rows = spark.read.parquet(out)
+    return rows.select("comment_id", F.date_format("dt", "yyyy-MM-dd HH:mm").alias("moment"), "author", "sub_reddit")
+
+
+@query("""
+SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS day, event_type AS sub_reddit, count(*) AS no_comment FROM events GROUP BY ALL""")
+def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts kept by a stream; at the end of the input they equal the batch report."""
+    out, checkpoint = scratch_path(spark, "daily"), scratch_path(spark, "daily-progress")
+    counts = jobs.daily_counts(_event_stream(spark, sf_dir), "dt")
+    jobs.run_to_end(lambda: jobs.write_counts(counts, out, checkpoint, once=True))
+    latest = jobs.latest_counts(spark, out, ["start", "sub_reddit"])
+    return latest.select(day_text("start").alias("day"), "sub_reddit", "no_comment")
+
+
+@query("""
+SELECT CAST(hour(ts + INTERVAL 8 HOUR) AS INTEGER) AS hour_local, count(*) AS no_comment FROM events
+WHERE ts >= TIMESTAMP '2024-01-11' GROUP BY ALL""")
+def stream_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only comments from a moment on are taken; their hours are counted afterwards."""
+    out, checkpoint = scratch_path(spark, "since"), scratch_path(spark, "since-progress")
+    schema = table(spark, sf_dir, "events").schema
+    stream = jobs.comment_stream(
+        spark, sf_dir, schema, since="2024-01-11 00:00:00", time_column="ts", pathGlobFilter="events.parquet"
+    )
+    jobs.run_to_end(lambda: jobs.write_stream(stream.select("event_id", "ts"), out, checkpoint, once=True))
+    hours = spark.read.parquet(out).groupBy(F.hour(to_local(F.col("ts"))).alias("hour_local"))
+    return hours.agg(F.count("*").alias("no_comment"))
+
+
+@query("SELECT event_id AS comment_id, event_type AS sub_reddit FROM events")
+def stream_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each comment comes twice, as when ingest pulls a window again; it is stored once."""
+    out, checkpoint = scratch_path(spark, "single"), scratch_path(spark, "single-progress")
+    twice = _event_stream(spark, sf_dir).withColumn("pull", F.explode(F.array(F.lit(1), F.lit(2)))).drop("pull")
+    single = jobs.without_repeats(twice, "dt").select("comment_id", "sub_reddit")
+    jobs.run_to_end(lambda: jobs.write_stream(single, out, checkpoint, once=True))
+    return spark.read.parquet(out)
+
+
+@query()
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cleaned and scored as they come."""
+    vectorizer, train, _ = vectorised(spark, sf_dir)
+    model = make_classifier("lr").fit(train)
+    out, checkpoint = scratch_path(spark, "scored"), scratch_path(spark, "scored-progress")
+    stream = _stream(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = jobs.score_stream(stream, vectorizer, model, {"text": "body_cleaned"}).select("doc_id", "prediction")
+    jobs.run_to_end(lambda: jobs.write_stream(scored, out, checkpoint, once=True))
+    return spark.read.parquet(out)

@@ -15,6 +15,8 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+# A row is judged by all its fields, not only by those a query needs.
+STRICT_OPTIONS = {"columnPruning": "false"}
 CORRUPT = "_corrupt_row"
 
 
@@ -32,7 +34,7 @@ def read_csv(
 
 def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
     """A CSV scan that leaves out rows that do not fit the schema."""
-    return spark.read.options(**{**CSV_OPTIONS, **options, "mode": "DROPMALFORMED"}).schema(schema).csv(path)
+    return spark.read.options(**{**CSV_OPTIONS, **STRICT_OPTIONS, **options, "mode": "DROPMALFORMED"}).schema(schema).csv(path)
 
 
 def read_csv_with_rejects(
@@ -40,7 +42,7 @@ def read_csv_with_rejects(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that fit the schema, and the raw text of those that do not."""
     wide = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    options = {**CSV_OPTIONS, **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    options = {**CSV_OPTIONS, **STRICT_OPTIONS, **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     rows = spark.read.options(**options).schema(wide).csv(path)
     good = rows.filter(F.col(CORRUPT).isNull()).select(*schema.fieldNames())
     # Spark refuses a scan of the corrupt column alone, so the first data column goes along.
