@@ -5,34 +5,53 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, HashingTF, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import (
+    IDF,
+    CountVectorizer,
+    CountVectorizerModel,
+    HashingTF,
+    IDFModel,
+    RegexTokenizer,
+    StopWordsRemover,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.stopwords import MODEL_EXTRA, spark_english
 
 
-def hashed_counts(text: str, stopwords: Sequence[str], num_features: int = 10_000) -> Pipeline:
-    """Tokens without stop words, counted into hash buckets."""
-    return Pipeline(
-        stages=[
+def hashed_counts(text: str, stopwords: Sequence[str] | None = None, num_features: int = 10_000) -> PipelineModel:
+    """Tokens without stop words, counted into hash buckets. These stages learn nothing from the rows.
+
+    Without a list, Spark's English words and the model extras are dropped.
+    """
+    words = spark_english() + MODEL_EXTRA if stopwords is None else list(stopwords)
+    return PipelineModel(
+        [
             RegexTokenizer(inputCol=text, outputCol="words", pattern="\\W"),
-            StopWordsRemover(inputCol="words", outputCol="filtered", stopWords=list(stopwords)),
+            StopWordsRemover(inputCol="words", outputCol="filtered", stopWords=words),
             HashingTF(inputCol="filtered", outputCol="rawFeatures", numFeatures=num_features),
         ]
     )
 
 
+def idf_stage(min_doc_freq: int = 5) -> IDF:
+    return IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=min_doc_freq)
+
+
 def text_vectorizer(
     text: str = "body_cleaned",
     stopwords: Sequence[str] | None = None,
     num_features: int = 10_000,
     min_doc_freq: int = 5,
 ) -> Pipeline:
-    """Unfitted feature stages. Without a list, Spark's English words and the model extras are dropped."""
-    words = spark_english() + MODEL_EXTRA if stopwords is None else stopwords
-    idf = IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=min_doc_freq)
-    return Pipeline(stages=[*hashed_counts(text, words, num_features).getStages(), idf])
+    """All feature stages, unfitted."""
+    return Pipeline(stages=[*hashed_counts(text, stopwords, num_features).stages, idf_stage(min_doc_freq)])
+
+
+def with_idf(counting: PipelineModel, idf: IDFModel) -> PipelineModel:
+    """The vectorizer made of the counting stages and an IDF fitted on rows counted before."""
+    return PipelineModel([*counting.stages, idf])
 
 
 def fit_features(train: DataFrame, test: DataFrame, vectorizer: Pipeline) -> tuple[PipelineModel, DataFrame, DataFrame]:

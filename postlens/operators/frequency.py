@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlens.functions.text import is_any
+
 
 def count_tokens(df: DataFrame, tokens: Column | str, min_freq: int = 2) -> DataFrame:
     """How often each token occurs. Map tasks pre-aggregate, so a hot token is one row per task."""
@@ -12,6 +16,32 @@ def count_tokens(df: DataFrame, tokens: Column | str, min_freq: int = 2) -> Data
     return words.groupBy("token").agg(F.count("*").alias("freq")).filter(F.col("freq") >= min_freq)
 
 
+def gram_rows(df: DataFrame, tokens: str, n: int, sep: str = " ", stopwords: Iterable[str] = ()) -> DataFrame:
+    """One row per run of n tokens of which none is a stop word.
+
+    The array is laid next to its own shifted copies and unrolled; dropping runs and joining their
+    tokens is then generated code over plain columns. Runs are dropped before the shuffle.
+    """
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    words = sorted(set(stopwords))
+    names = [f"t{place}" for place in range(n)]
+    runs = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+    shifted = F.arrays_zip(*[F.slice(tokens, place + 1, runs).alias(name) for place, name in enumerate(names)])
+    rows = df.select(F.inline(shifted).alias(*names))
+    for name in names:
+        rows = rows.filter(~is_any(F.col(name), words))
+    return rows.select(F.concat_ws(sep, *names).alias("token"))
+
+
+def count_ngrams(
+    df: DataFrame, tokens: str, n: int, min_freq: int = 2, sep: str = " ", stopwords: Iterable[str] = ()
+) -> DataFrame:
+    """How often each run of n tokens occurs."""
+    counts = gram_rows(df, tokens, n, sep, stopwords).groupBy("token").agg(F.count("*").alias("freq"))
+    return counts.filter(F.col("freq") >= min_freq)
+
+
 def top_tokens(counts: DataFrame, k: int, by: str = "freq") -> DataFrame:
     return counts.orderBy(F.desc(by), "token").limit(k)
 

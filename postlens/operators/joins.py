@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Mark a frame for broadcast if it holds at most ``max_rows`` narrow rows.
+
+    For frames whose size Spark cannot estimate, such as rows made on the driver. A longer one is
+    returned as it is and is joined by shuffle, where AQE splits hot keys.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, salts: int = 64) -> DataFrame:
     """The first k rows of each group in a total order.
 

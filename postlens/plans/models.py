@@ -19,7 +19,6 @@ from postlens.plans.tables import documents, table
 from postlens.session import materialise, scratch_path
 
 TEXT = {"text": "body_cleaned"}
-KEPT = ("doc_id", "label", "features")
 
 
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,10 +27,15 @@ def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vectorised(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """Train and test features, written once: training reads them many times."""
-    train, test = hash_split(labelled_texts(spark, sf_dir), "doc_id", 80, 42)
-    fitted, train, test = ft.fit_features(train, test, ft.text_vectorizer())
-    return fitted, materialise(train.select(*KEPT), "train"), materialise(test.select(*KEPT), "test")
+    """The fitted vectorizer, and the features of train and test rows.
+
+    Texts are read once: their term counts are written, and both the IDF and the models start there.
+    """
+    counting = ft.hashed_counts("body_cleaned")
+    counted = counting.transform(labelled_texts(spark, sf_dir)).select("doc_id", "label", "rawFeatures")
+    train, test = hash_split(materialise(counted, "term-counts"), "doc_id", 80, 42)
+    idf = ft.idf_stage().fit(train)
+    return ft.with_idf(counting, idf), idf.transform(train), idf.transform(test)
 
 
 def _train(spark: SparkSession, sf_dir: str, name: str, small: bool = True) -> DataFrame:
@@ -106,7 +110,7 @@ SELECT lang, n_tokens, n_docs FROM kept JOIN (SELECT lang, count(*) AS n_docs FR
 def hashed_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashed count vectors summed per language: buckets may mix terms, their total may not change."""
     rows = documents(spark, sf_dir, "lang")
-    counted = ft.hashed_counts("text", MODEL_SHORT).fit(rows).transform(rows)
+    counted = ft.hashed_counts("text", MODEL_SHORT).transform(rows)
     sums = counted.groupBy("lang").agg(Summarizer.sum(F.col("rawFeatures")).alias("total"), F.count("*").alias("n_docs"))
     total = F.aggregate(vector_to_array("total"), F.lit(0.0), lambda left, right: left + right)
     return sums.select("lang", total.cast("long").alias("n_tokens"), "n_docs")
@@ -120,5 +124,5 @@ WHERE token <> '' AND token NOT IN ('is', 'like', 'and', 'the') GROUP BY doc_id"
 def feature_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the tokenizer and stop-word stages hand to the hashing stage."""
     rows = documents(spark, sf_dir)
-    kept = ft.hashed_counts("text", MODEL_SHORT).fit(rows).transform(rows).filter(F.size("filtered") > 0)
+    kept = ft.hashed_counts("text", MODEL_SHORT).transform(rows).filter(F.size("filtered") > 0)
     return kept.select("doc_id", F.md5(F.array_join("filtered", " ")).alias("words_md5"))

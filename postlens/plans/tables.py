@@ -45,6 +45,13 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "text", F.coalesce(F.col("toxic") == 1, F.lit(False)).alias("flagged"))
 
 
+def flagged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled toxic. The wanted ids are few, so Spark broadcasts them or filters the scan by
+    a Bloom filter of them before any text is shuffled."""
+    toxic = table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id")
+    return documents(spark, sf_dir).join(toxic, "doc_id", "left_semi")
+
+
 def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels as truth against a rule as prediction: low quality is predicted toxic."""
     labels = table(spark, sf_dir, "labels")

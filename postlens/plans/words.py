@@ -16,6 +16,7 @@ from postlens.plans.tables import (
     SPACES_SQL,
     URL_SQL,
     documents,
+    flagged_documents,
     grams_sql,
     labelled_documents,
     letters_sql,
@@ -113,7 +114,7 @@ def word_freq_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {words_sql(f"(SELECT * FROM documents WHERE doc_id IN {FLAGGED_SQL})")}
 SELECT token, count(*) AS freq FROM words GROUP BY token HAVING count(*) >= 2""")
 def word_freq_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fq.count_tokens(labelled_documents(spark, sf_dir).filter("flagged"), _words())
+    return fq.count_tokens(flagged_documents(spark, sf_dir), _words())
 
 
 @query("""
@@ -127,14 +128,14 @@ def token_counts_nonword(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {letters_sql()}, {grams_sql(2)}
 SELECT token, count(*) AS freq FROM grams GROUP BY token HAVING count(*) >= 2""")
 def bigram_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fq.count_tokens(_with_letters(documents(spark, sf_dir)), _grams(2))
+    return fq.count_ngrams(_with_letters(documents(spark, sf_dir)), "letters", 2, stopwords=ENGLISH)
 
 
 @query(f"""
 WITH {letters_sql()}, {grams_sql(3)}
 SELECT token, count(*) AS freq FROM grams GROUP BY token HAVING count(*) >= 2""")
 def trigram_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fq.count_tokens(_with_letters(documents(spark, sf_dir)), _grams(3))
+    return fq.count_ngrams(_with_letters(documents(spark, sf_dir)), "letters", 3, stopwords=ENGLISH)
 
 
 @query(f"""
@@ -145,8 +146,7 @@ long_words AS (SELECT * FROM kept WHERE length(token) >= 2),
 SELECT token, count(*) AS freq FROM grams GROUP BY token HAVING count(*) >= 2""")
 def bigram_freq_stop_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.filter(tx.space_tokens(_stripped(F.col("text"))), lambda token: F.char_length(token) >= 2)
-    rows = documents(spark, sf_dir).withColumn("letters", words)
-    return fq.count_tokens(rows, tx.ngrams(F.col("letters"), 2))
+    return fq.count_ngrams(documents(spark, sf_dir).select(words.alias("words")), "words", 2)
 
 
 IDF_SQL = "round(ln((SELECT count(*) FROM documents) / df) + 0.1, 6)"
@@ -218,8 +218,8 @@ idfs AS (
 SELECT token, freq, round(freq * idf, 6) AS tfidf
 FROM freqs LEFT JOIN idfs USING (token) ORDER BY round(freq * idf, 6) DESC NULLS LAST, token LIMIT 100""")
 def tfidf_top100_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = labelled_documents(spark, sf_dir)
-    joined = fq.join_tfidf(fq.count_tokens(rows.filter("flagged"), _words()), fq.compute_idf(rows, _words()))
+    freq = fq.count_tokens(flagged_documents(spark, sf_dir), _words())
+    joined = fq.join_tfidf(freq, fq.compute_idf(documents(spark, sf_dir), _words()))
     return fq.top_tokens(_rounded(joined.drop("idf"), "tfidf"), 100, by="tfidf")
 
 
