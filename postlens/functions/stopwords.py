@@ -24,7 +24,7 @@ MODEL_SHORT = ["is", "like", "and", "the"]
 # Words of Spark's English list that the NLTK list lacks, used by the exploration reports.
 SPARK_ONLY = """
 i'll he'll she'll we'll they'll i'd he'd she'd we'd they'd i'm he's we're they're i've we've they've can't
-cannot could here's how's let's ought there's what's when's where's who's why's would
+cannot could here's how's let's ought that's there's what's when's where's who's why's would
 """.split()
 
 # Forum words dropped by the exploration reports ("people" and "get" are two words).

@@ -15,8 +15,6 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
-# A row is judged by all its fields, not only by those a query needs.
-STRICT_OPTIONS = {"columnPruning": "false"}
 CORRUPT = "_corrupt_row"
 
 
@@ -34,20 +32,24 @@ def read_csv(
 
 def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
     """A CSV scan that leaves out rows that do not fit the schema."""
-    return spark.read.options(**{**CSV_OPTIONS, **STRICT_OPTIONS, **options, "mode": "DROPMALFORMED"}).schema(schema).csv(path)
+    return read_csv_with_rejects(spark, path, schema, **options)[0]
 
 
 def read_csv_with_rejects(
     spark: SparkSession, path: str, schema: T.StructType, **options: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit the schema, and the raw text of those that do not."""
+    """Rows that fit the schema, and the raw text of those that do not.
+
+    A row is judged by all its fields: the always-true comparison reads them, or Spark would parse
+    only the columns a later step asks for and take a bad row for a good one.
+    """
     wide = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    options = {**CSV_OPTIONS, **STRICT_OPTIONS, **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    options = {**CSV_OPTIONS, **options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     rows = spark.read.options(**options).schema(wide).csv(path)
+    rows = rows.filter(F.xxhash64(*schema.fieldNames()) >= F.lit(-(2**63)))
     good = rows.filter(F.col(CORRUPT).isNull()).select(*schema.fieldNames())
-    # Spark refuses a scan of the corrupt column alone, so the first data column goes along.
-    rejects = rows.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("row"), schema.fieldNames()[0])
-    return good, rejects
+    bad = rows.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("row"), *schema.fieldNames())
+    return good, bad
 
 
 def read_recursive(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
