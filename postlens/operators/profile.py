@@ -29,7 +29,7 @@ def _range_cuts(counts: DataFrame, parts: int) -> list[float]:
     return sorted(set(found or []))
 
 
-def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float] = QUARTILES, parts: int = 1000) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float] = QUARTILES, parts: int = 4096) -> DataFrame:
     """Exact interpolated quantiles as rows ``(share, quantile)``.
 
     Equal values are counted first, so a value held by a third of the rows is one row. The distinct

@@ -38,13 +38,6 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text", *columns))
 
 
-def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with ``flagged``: true where the label says toxic, false elsewhere."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    joined = documents(spark, sf_dir).join(labels, "doc_id", "left")
-    return joined.select("doc_id", "text", F.coalesce(F.col("toxic") == 1, F.lit(False)).alias("flagged"))
-
-
 def flagged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents labelled toxic. The wanted ids are few, so Spark broadcasts them or filters the scan by
     a Bloom filter of them before any text is shuffled."""

@@ -18,7 +18,6 @@ from postlens.plans.tables import (
     documents,
     flagged_documents,
     grams_sql,
-    labelled_documents,
     letters_sql,
     table,
     word_list_sql,
@@ -181,8 +180,11 @@ counts AS (
 idfs AS (SELECT token, freq, CASE WHEN df >= 10 THEN ln((SELECT count(*) FROM documents) / df) + 0.1 END AS idf FROM counts)
 SELECT token, freq, round(idf, 6) AS idf, round(freq * idf, 6) AS tfidf FROM idfs""")
 def tfidf_bigram_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _with_letters(labelled_documents(spark, sf_dir))
-    return _rounded(fq.corpus_tfidf(rows, _grams(2), F.col("flagged"), min_df=10), "idf", "tfidf")
+    """Frequencies of the flagged documents against the IDF of all. The label sits in another table, so
+    only flagged texts take part in a join; all texts are read for the IDF and none of them is moved."""
+    freq = fq.count_ngrams(_with_letters(flagged_documents(spark, sf_dir)), "letters", 2, stopwords=ENGLISH)
+    idf = fq.compute_idf(_with_letters(documents(spark, sf_dir)), _grams(2), min_df=10)
+    return _rounded(fq.join_tfidf(freq, idf), "idf", "tfidf")
 
 
 @query(f"""
