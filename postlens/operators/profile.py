@@ -9,6 +9,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlens.session import materialise
+
 QUARTILES = (0.25, 0.5, 0.75)
 NESTED = ("array", "map", "struct")
 
@@ -18,31 +20,35 @@ def _value_counts(df: DataFrame, column: str) -> DataFrame:
     return values.groupBy("value").agg(F.count("*").alias("n"))
 
 
-def _range_cuts(counts: DataFrame, parts: int) -> list[float]:
-    """Inner cut points that split the distinct values into ranges of similar size.
+def _in_ranges(counts: DataFrame, values_per_part: int, max_parts: int) -> DataFrame:
+    """The distinct values with the number of the range they fall into.
 
-    The approximate quantiles only balance the work; the exact answer does not depend on them. At
-    most ``parts`` numbers reach the driver.
+    Cut points are approximate quantiles, so ranges hold about as many values each; the exact answer
+    does not depend on them. At most ``max_parts`` numbers reach the driver.
     """
-    shares = [i / parts for i in range(1, parts)]
-    found = counts.agg(F.percentile_approx("value", shares, 10 * parts).alias("cuts")).first()["cuts"]
-    return sorted(set(found or []))
-
-
-def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float] = QUARTILES, parts: int = 4096) -> DataFrame:
+    parts = min(max_parts, counts.count() // values_per_part + 1)
+    if parts == 1:
+        return counts.withColumn("part", F.lit(0.0))
+    counts = materialise(counts, "value-counts")
+    cuts = counts.approxQuantile("value", [i / parts for i in range(1, parts)], 0.1 / parts)
+    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    return Bucketizer(splits=splits, inputCol="value", outputCol="part", handleInvalid="keep").transform(counts)
+
+
+def exact_quantiles(
+    df: DataFrame,
+    column: str,
+    shares: Sequence[float] = QUARTILES,
+    values_per_part: int = 200_000,
+    max_parts: int = 4096,
+) -> DataFrame:
     """Exact interpolated quantiles as rows ``(share, quantile)``.
 
     Equal values are counted first, so a value held by a third of the rows is one row. The distinct
-    values then fall into ranges; the running total over the ranges (at most ``parts`` rows) tells
+    values then fall into ranges; the running total over the ranges (at most ``max_parts`` rows) tells
     where a rank lies, and only the ranges that hold a wanted rank are sorted, each on its own.
     """
-    counts = _value_counts(df, column)
-    cuts = _range_cuts(counts, parts)
-    if cuts:
-        bucketizer = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="value", outputCol="part", handleInvalid="keep")
-        counts = bucketizer.transform(counts)
-    else:
-        counts = counts.withColumn("part", F.lit(0.0))
+    counts = _in_ranges(_value_counts(df, column), values_per_part, max_parts)
     sizes = counts.groupBy("part").agg(F.sum("n").alias("size"))
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy()
