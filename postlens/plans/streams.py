@@ -14,8 +14,13 @@ from postlens.session import scratch_path
 from postlens.streaming import jobs
 
 
+def _source(sf_dir: str, name: str) -> str:
+    """A table as a stream source. The pattern fits a single file as well as a folder of files."""
+    return f"{sf_dir.rstrip('/')}/{{{name}.parquet}}"
+
+
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return jobs.comment_stream(spark, sf_dir, table(spark, sf_dir, name).schema, pathGlobFilter=f"{name}.parquet")
+    return jobs.comment_stream(spark, _source(sf_dir, name), table(spark, sf_dir, name).schema)
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +63,7 @@ def stream_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = scratch_path(spark, "since"), scratch_path(spark, "since-progress")
     schema = table(spark, sf_dir, "events").schema
     stream = jobs.comment_stream(
-        spark, sf_dir, schema, since="2024-01-11 00:00:00", time_column="ts", pathGlobFilter="events.parquet"
+        spark, _source(sf_dir, "events"), schema, since="2024-01-11 00:00:00", time_column="ts"
     )
     jobs.run_to_end(lambda: jobs.write_stream(stream.select("event_id", "ts"), out, checkpoint, once=True))
     hours = spark.read.parquet(out).groupBy(F.hour(to_local(F.col("ts"))).alias("hour_local"))
