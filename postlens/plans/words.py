@@ -43,7 +43,7 @@ def _with_letters(df: DataFrame) -> DataFrame:
 @query(f"""
 WITH bodies AS (SELECT page_id, url || chr(10) || 'see ' || url || ' ' || html AS body FROM pages),
 cleaned AS (SELECT page_id, lower(regexp_replace(body, '{URL_SQL}|\\n', '', 'g')) AS body_cleaned FROM bodies)
-SELECT page_id, md5(body_cleaned) AS body_md5, length(body_cleaned) AS n_chars FROM cleaned""")
+SELECT page_id, md5(body_cleaned) AS body_md5, CAST(length(body_cleaned) AS INTEGER) AS n_chars FROM cleaned""")
 def clean_pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat("url", F.lit("\nsee "), "url", F.lit(" "), "html")
     pages = spread_small(table(spark, sf_dir, "pages"))
@@ -54,7 +54,7 @@ def clean_pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH {words_sql()},
 joined AS (SELECT doc_id, count(*) AS n, string_agg(token, ' ' ORDER BY i) AS kept FROM words GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n, 0) AS n_tokens, md5(coalesce(kept, '')) AS tokens_md5
+SELECT d.doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_tokens, md5(coalesce(kept, '')) AS tokens_md5
 FROM documents d LEFT JOIN joined USING (doc_id)""")
 def prepare_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = documents(spark, sf_dir).select("doc_id", _words().alias("tokens"))
@@ -62,8 +62,8 @@ def prepare_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT doc_id, length(CAST(doc_id AS VARCHAR)) AS id_length, length(text) AS text_length, length(source) AS source_length
-FROM documents""")
+SELECT doc_id, CAST(length(CAST(doc_id AS VARCHAR)) AS INTEGER) AS id_length, CAST(length(text) AS INTEGER) AS text_length,
+       CAST(length(source) AS INTEGER) AS source_length FROM documents""")
 def id_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir, "source").select(
         "doc_id",
@@ -94,7 +94,7 @@ def _stripped(text: Column) -> Column:
 WITH bodies AS (SELECT page_id AS doc_id, url || ' ' || html AS body FROM pages),
 {STRIPPED_SQL},
 joined AS (SELECT doc_id, string_agg(token, ' ' ORDER BY i) AS plain, count(*) AS n FROM kept GROUP BY doc_id)
-SELECT page_id, md5(coalesce(plain, '')) AS plain_md5, coalesce(n, 0) AS n_words
+SELECT page_id, md5(coalesce(plain, '')) AS plain_md5, CAST(coalesce(n, 0) AS INTEGER) AS n_words
 FROM pages LEFT JOIN joined ON doc_id = page_id""")
 def strip_punct_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spread_small(table(spark, sf_dir, "pages"))
