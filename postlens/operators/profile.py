@@ -27,10 +27,10 @@ def _in_ranges(counts: DataFrame, values_per_part: int, max_parts: int) -> DataF
     does not depend on them. At most ``max_parts`` numbers reach the driver.
     """
     parts = min(max_parts, counts.count() // values_per_part + 1)
-    cuts: list[float] = []
+    cuts = [0.0]
     if parts > 1:
         counts = materialise(counts, "value-counts")
-        cuts = counts.approxQuantile("value", [i / parts for i in range(1, parts)], 0.1 / parts)
+        cuts = counts.approxQuantile("value", [i / parts for i in range(1, parts)], 0.1 / parts) or cuts
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     return Bucketizer(splits=splits, inputCol="value", outputCol="part", handleInvalid="keep").transform(counts)
 
