@@ -49,9 +49,12 @@ def top_k_with_ties(counts: DataFrame, count: str, k: int) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row of each key in ascending order of the given columns; other columns break ties."""
-    rest = [name for name in df.columns if name not in keys and name not in order]
-    return top_k_per_group(df, keys, [F.desc(name) for name in [*order, *rest]], 1)
+    """The last row of each key in ascending order of the given columns.
+
+    A hash of the whole row breaks ties, so the same row wins on every run without sorting by texts.
+    """
+    tie = F.xxhash64(*df.columns)
+    return top_k_per_group(df, keys, [*[F.desc(name) for name in order], tie.desc()], 1)
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:

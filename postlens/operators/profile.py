@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlens.session import materialise
 
@@ -80,7 +82,7 @@ def exact_quantiles(
 def numeric_profile(df: DataFrame, column: str) -> DataFrame:
     """count, mean, std, min, quartiles and max as rows ``(statistic, value)``."""
     value = F.col(column).cast("double")
-    # NaN counts as missing, as in the reference's data frames.
+    # NaN counts as missing.
     present = F.when(~F.isnan(value), value)
     basic = df.select(present.alias("v")).agg(
         F.count("v").cast("double").alias("count"),
@@ -95,6 +97,15 @@ def numeric_profile(df: DataFrame, column: str) -> DataFrame:
     return rows.unionByName(quantiles.select(named.alias("statistic"), F.col("quantile").alias("value")))
 
 
+def numeric_profiles(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The profile of several columns, by default of all numeric ones, as rows ``(column, statistic, value)``."""
+    names = columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+    if not names:
+        raise ValueError("no numeric columns")
+    profiles = [numeric_profile(df, name).select(F.lit(name).alias("column"), "statistic", "value") for name in names]
+    return reduce(DataFrame.unionByName, profiles)
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """Nulls per column in one pass, as rows ``(column, n_null)``."""
     counts = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in df.columns])

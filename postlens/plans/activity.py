@@ -241,6 +241,21 @@ def profile_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pf.numeric_profile(table(spark, sf_dir, "events"), "value").withColumn("value", F.round("value", 6))
 
 
+def _profile_sql(column: str) -> str:
+    return f"""
+SELECT '{column}' AS "column", statistic, round(value, 6) AS value FROM (UNPIVOT (
+  SELECT CAST(count({column}) AS DOUBLE) AS count, avg({column}) AS mean, stddev_samp({column}) AS std,
+         CAST(min({column}) AS DOUBLE) AS min, quantile_cont(CAST({column} AS DOUBLE), 0.25) AS "25%",
+         quantile_cont(CAST({column} AS DOUBLE), 0.5) AS "50%", quantile_cont(CAST({column} AS DOUBLE), 0.75) AS "75%",
+         CAST(max({column}) AS DOUBLE) AS max FROM lineitem) ON COLUMNS(*) INTO NAME statistic VALUE value)"""
+
+
+@query(" UNION ALL ".join(_profile_sql(column) for column in ("l_quantity", "l_extendedprice", "l_linenumber")))
+def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["l_quantity", "l_extendedprice", "l_linenumber"]
+    return pf.numeric_profiles(table(spark, sf_dir, "lineitem"), columns).withColumn("value", F.round("value", 6))
+
+
 @query("""
 SELECT 'event_id' AS "column", 0 AS n_null UNION ALL
 SELECT 'event_type', count(*) FILTER (WHERE event_id % 7 = 0) FROM events UNION ALL

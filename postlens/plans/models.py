@@ -71,6 +71,13 @@ def cv_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cf.grid_scores(cf.cross_validate(train, "lr", key="doc_id", parallelism=3), train)
 
 
+@query()
+def cv_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean score of each cell of the decision-tree grid over four folds."""
+    _, train, _ = vectorised(spark, sf_dir)
+    return cf.grid_scores(cf.cross_validate(train, "dt", key="doc_id", parallelism=3), train)
+
+
 @query()
 def tree_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, train, _ = vectorised(spark, sf_dir)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens import schemas
+from postlens.functions.values import parse_time, to_number
+from postlens.operators.cleaning import parsed_and_rejected
 
 CSV_OPTIONS = {
     "header": "true",
@@ -98,6 +100,22 @@ def read_watchlist(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.SUBMISSIONS)
 
 
+def read_id_list(spark: SparkSession, path: str) -> DataFrame:
+    """Submission ids of a file that numbers its rows in a first, unnamed column."""
+    numbered = T.StructType([T.StructField("row", T.IntegerType()), T.StructField("submission_id", T.StringType())])
+    return read_csv(spark, path, numbered).select("submission_id")
+
+
+def read_simulated_posts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Simulated posts with their text dates parsed, and the rows whose dates do not fit the format."""
+    arrived = read_csv(spark, path, schemas.SIMULATED_POSTS)
+    good, rejects = parsed_and_rejected(
+        arrived, {"timestamp": parse_time(F.col("timestamp")), "date": parse_time(F.col("date"), "d/M/yy").cast("date")}
+    )
+    numbers = {"upvotes": to_number(F.col("upvotes"), "int"), "upvote_ratio": to_number(F.col("upvote_ratio"))}
+    return good.withColumns(numbers), rejects
+
+
 def restrict_to_watchlist(posts: DataFrame, watchlist: DataFrame, key: str = "submission_id") -> DataFrame:
     """Posts whose submission is on the list. A list under Spark's broadcast threshold is broadcast, a
     longer one is joined by shuffle; a left-semi join never repeats a post."""

@@ -19,7 +19,7 @@ CSV_WRITE_OPTIONS = {
 }
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 1_000_000) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 50_000) -> None:
     """Part files, each with a header, written by the tasks that hold the rows.
 
     A file with quoted newlines is read by one task, so files are kept short.
