@@ -57,17 +57,34 @@ def write_stream(
     return _start(stream.writeStream.format(file_format).outputMode("append").options(**options, path=path), checkpoint, once, every)
 
 
-def without_repeats(stream: DataFrame, time_column: str, key: str = "comment_id", delay: str = "6 days") -> DataFrame:
-    """Comments that come again within the delay are dropped. Ingest pulls a window of days again and
-    again, so the delay covers that window; older keys leave the state."""
+def without_repeats(stream: DataFrame, time_column: str, key: str = "comment_id", delay: str | None = None) -> DataFrame:
+    """Each comment once, though ingest pulls a window of days again and again.
+
+    Without a delay every id stays in state and nothing else is dropped, in whatever order files come.
+    With one, ids leave the state once the newest comment is that much younger, and comments that come
+    later still are left out; it must cover the pulled window and the disorder of the files.
+    """
+    if delay is None:
+        return stream.dropDuplicates([key])
     return stream.withWatermark(time_column, delay).dropDuplicatesWithinWatermark([key])
 
 
 def daily_counts(
-    stream: DataFrame, time_column: str, group: str = "sub_reddit", delay: str = "6 days", hours: int = 8, width: str = "1 day"
+    stream: DataFrame,
+    time_column: str,
+    group: str = "sub_reddit",
+    delay: str | None = None,
+    hours: int = 8,
+    width: str = "1 day",
 ) -> DataFrame:
-    """Comments per local day and group; a day is held in state until the delay has passed."""
-    local = stream.withColumn("_local", to_local(F.col(time_column), hours)).withWatermark("_local", delay)
+    """Comments per local day and group.
+
+    Without a delay the state keeps one number per day and group, and late comments always count. With
+    one, a day leaves the state after the delay and later comments of it are left out.
+    """
+    local = stream.withColumn("_local", to_local(F.col(time_column), hours))
+    if delay is not None:
+        local = local.withWatermark("_local", delay)
     counts = local.groupBy(F.window("_local", width).alias("span"), group).agg(F.count("*").alias("no_comment"))
     return counts.select(F.col("span.start").alias("start"), group, "no_comment")
 
