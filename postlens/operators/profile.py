@@ -22,17 +22,14 @@ def _value_counts(df: DataFrame, column: str) -> DataFrame:
     return values.groupBy("value").agg(F.count("*").alias("n"))
 
 
-def _in_ranges(counts: DataFrame, values_per_part: int, max_parts: int) -> DataFrame:
+def _in_ranges(counts: DataFrame, parts: int) -> DataFrame:
     """The distinct values with the number of the range they fall into.
 
     Cut points are approximate quantiles, so ranges hold about as many values each; the exact answer
-    does not depend on them. At most ``max_parts`` numbers reach the driver.
+    does not depend on them. At most ``parts`` numbers reach the driver.
     """
-    parts = min(max_parts, counts.count() // values_per_part + 1)
-    cuts = [0.0]
-    if parts > 1:
-        counts = materialise(counts, "value-counts")
-        cuts = counts.approxQuantile("value", [i / parts for i in range(1, parts)], 0.1 / parts) or cuts
+    counts = materialise(counts, "value-counts")
+    cuts = counts.approxQuantile("value", [i / parts for i in range(1, parts)], 0.1 / parts)
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     return Bucketizer(splits=splits, inputCol="value", outputCol="part", handleInvalid="keep").transform(counts)
 
@@ -46,11 +43,21 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact interpolated quantiles as rows ``(share, quantile)``.
 
-    Equal values are counted first, so a value held by a third of the rows is one row. The distinct
-    values then fall into ranges; the running total over the ranges (at most ``max_parts`` rows) tells
+    Equal values are counted first, so a value held by a third of the rows is one row. Up to
+    ``values_per_part`` distinct values go into Spark's own percentile, whose memory grows with them.
+    More are cut into ranges; the running total over the ranges (at most ``max_parts`` rows) tells
     where a rank lies, and only the ranges that hold a wanted rank are sorted, each on its own.
     """
-    counts = _in_ranges(_value_counts(df, column), values_per_part, max_parts)
+    counts = _value_counts(df, column)
+    distinct = counts.count()
+    if distinct <= values_per_part:
+        wanted = [float(share) for share in shares]
+        found = counts.agg(F.percentile("value", wanted, F.col("n")).alias("found"))
+        return found.select(F.inline(F.arrays_zip(F.lit(wanted), F.col("found"))).alias("share", "quantile"))
+    return _quantiles_by_ranges(_in_ranges(counts, min(max_parts, distinct // values_per_part + 1)), shares)
+
+
+def _quantiles_by_ranges(counts: DataFrame, shares: Sequence[float]) -> DataFrame:
     sizes = counts.groupBy("part").agg(F.sum("n").alias("size"))
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy()
