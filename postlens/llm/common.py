@@ -76,9 +76,9 @@ def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*[F.col("row").getField(name).alias(name) for name in docs.columns])
 
 
-def with_text(docs: DataFrame, text: Column) -> Column:
-    """The packed row with another text; ``n_chars``, where ``docs`` has it, follows the text."""
-    changed = F.col("row").withField("text", text)
+def with_text(rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The columns of ``docs`` with another text; ``n_chars``, where ``docs`` has it, follows the text."""
+    new = {"text": F.col(text)}
     if "n_chars" in docs.columns:
-        changed = changed.withField("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return changed.alias("row")
+        new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[new.get(name, F.col("row").getField(name)).alias(name) for name in docs.columns])

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import WORD, packed, unpacked, with_positions, with_text
+from postlens.llm.common import WORD, packed, with_positions, with_text
 from postlens.session import materialise
 
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -145,9 +145,9 @@ def mix(
 ) -> DataFrame:
     """Rows ``(doc_id, party, size, tie, ...)`` with what the mix takes of each.
 
-    Added are ``source_size``, ``target``, ``passes`` (how often the whole document is taken), ``first``
-    and ``second`` (``start, end``: the words taken in the last pass, which may run around the end of the
-    sequence) and ``taken``, the words of all passes together.
+    Added are ``source_size``, ``target``, ``passes`` (how often the whole document is taken), the words
+    taken in the last pass as ``first_start, first_end`` and ``second_start, second_end`` (that pass may
+    run around the end of the sequence) and ``taken``, the words of all passes together.
     """
     place = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))
     targets = source_targets(docs.select("party", "size"), weights, max_repeats, budget)
@@ -161,23 +161,23 @@ def mix(
     placed = docs.withColumn("shard", shard).withColumn("stop", F.sum("size").over(inside))
     placed = placed.join(shares, ["shard", "party"]).withColumn("start", F.col("stop") - F.col("size"))
     words, blocks = F.col("words"), F.col("blocks")
-    begin = F.pmod(F.xxhash64(F.lit(seed + 2), "shard", "party"), blocks)
-    low = F.floor(begin * words / blocks)
-    high = F.floor((begin + F.col("quota") % blocks) * words / blocks)
+    placed = placed.withColumn("begin", F.pmod(F.xxhash64(F.lit(seed + 2), "shard", "party"), blocks))
+    placed = placed.withColumn("low", F.floor(F.col("begin") * words / blocks))
+    placed = placed.withColumn("high", F.floor((F.col("begin") + F.col("quota") % blocks) * words / blocks))
 
-    def overlap(a: Column, b: Column) -> Column:
-        left, right = (F.greatest(F.least(at - F.col("start"), F.col("size")), F.lit(0)) for at in (a, b))
-        return F.struct(left.cast("long").alias("start"), F.greatest(left, right).cast("long").alias("end"))
-
-    def length(span: str) -> Column:
-        return F.col(span + ".end") - F.col(span + ".start")
+    def inside_document(at: Column) -> Column:
+        return F.greatest(F.least(at - F.col("start"), F.col("size")), F.lit(0)).cast("long")
 
+    one, two = F.col("first_end") - F.col("first_start"), F.col("second_end") - F.col("second_start")
     return (
         placed.withColumn("passes", F.floor(F.col("quota") / blocks).cast("int"))
-        .withColumn("first", overlap(low, F.least(high, words)))
-        .withColumn("second", overlap(F.lit(0), high - words))
-        .withColumn("taken", (F.col("passes") * F.col("size") + length("first") + length("second")).cast("long"))
-        .drop("shard", "stop", "start", "words", "blocks", "quota")
+        .withColumn("first_start", inside_document(F.col("low")))
+        .withColumn("first_end", inside_document(F.least("high", "words")))
+        .withColumn("second_start", F.lit(0).cast("long"))
+        .withColumn("second_end", inside_document(F.col("high") - words))
+        .withColumn("first_end", F.greatest("first_start", "first_end"))
+        .withColumn("taken", (F.col("passes") * F.col("size") + one + two).cast("long"))
+        .drop("shard", "stop", "start", "words", "blocks", "quota", "begin", "low", "high")
     )
 
 
@@ -189,11 +189,11 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
 
     def part(span: str) -> Column:
-        start, size = F.col(span + ".start"), F.col(span + ".end") - F.col(span + ".start")
+        start, size = F.col(span + "_start"), F.col(span + "_end") - F.col(span + "_start")
         cut = F.array_join(F.slice(pieces, (start + 1).cast("int"), size.cast("int")), "")
         return F.when(size >= F.col("size"), text).when(size > 0, cut)
 
     whole = F.when(F.col("size") > 0, F.array_repeat(text, F.col("passes"))).otherwise(F.array().cast("array<string>"))
     parts = F.filter(F.array(part("first"), part("second")), lambda one: one.isNotNull())
     taken = found.filter("taken > 0").select("row", F.explode(F.concat(whole, parts)).alias("taken_text"))
-    return unpacked(taken.select(with_text(docs, F.col("taken_text"))), docs)
+    return with_text(taken, docs, "taken_text")

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import mixing, repetition, simhash, url_trie
+from postlens.llm import (
+    arc_warc,
+    language_id,
+    merkle,
+    mixing,
+    pii,
+    piece_fst,
+    repetition,
+    simhash,
+    toxicity,
+    url_trie,
+)
 from postlens.llm.common import read_table
 from postlens.session import materialise
 
@@ -20,13 +31,60 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc_warc.archive_pages(read_table(spark, sf_dir, "pages"))
+
+
+ORACLES["op2_arc_to_warc"] = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+digests AS (
+  SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS hex,
+         row_number() OVER (PARTITION BY html ORDER BY page_id) AS nth,
+         min(page_id) OVER (PARTITION BY html) AS first
+  FROM payloads)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(32), i ->
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                CAST(((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS INTEGER), 5) AS INTEGER)
+                       >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1 AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN nth > 1 THEN first END AS refers_to
+FROM digests
+"""
+
+
 @query
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     sizes = materialise(mixing.sized(docs).drop("row"), "mix-sizes")
-    return mixing.mix(sizes).select(
-        "doc_id", "size", "source_size", "target", "taken", "passes", "first", "second"
-    )
+    return mixing.mix(sizes).drop("party", "tie")
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_fst.encode_texts(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.detect(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edit_and_compare(read_table(spark, sf_dir, "documents"))
 
 
 @query
