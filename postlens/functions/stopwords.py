@@ -27,6 +27,12 @@ i'll he'll she'll we'll they'll i'd he'd she'd we'd they'd i'm he's we're they'r
 cannot could here's how's let's ought that's there's what's when's where's who's why's would
 """.split()
 
+# Words of the NLTK list that Spark's English list lacks.
+NLTK_ONLY = """
+ain aren couldn d didn doesn hadn hasn haven isn ll m ma mightn mightn't mustn needn needn't o re shan should've
+shouldn that'll ve wasn weren won wouldn y
+""".split()
+
 # Forum words dropped by the exploration reports ("people" and "get" are two words).
 FORUM = """
 want really u go s still sounds like make sure feel maybe need bot action performed automatically please

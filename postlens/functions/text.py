@@ -54,10 +54,11 @@ def is_any(token: Column, words: Iterable[str]) -> Column:
     return token.isin(words) if words else F.lit(False)
 
 
-def drop_stopwords(tokens: Column, words: Iterable[str]) -> Column:
-    """Drop tokens found in a word list, whatever their case; repeated other tokens stay."""
-    lowered = sorted({word.lower() for word in words})
-    return F.filter(tokens, lambda token: ~is_any(F.lower(token), lowered))
+def drop_stopwords(tokens: Column, words: Iterable[str], lowered: bool = False) -> Column:
+    """Drop tokens found in a word list, whatever their case; repeated other tokens stay. Tokens that are
+    lower-case already need not be lowered again."""
+    listed = sorted({word.lower() for word in words})
+    return F.filter(tokens, lambda token: ~is_any(token if lowered else F.lower(token), listed))
 
 
 def without_stopwords(text: Column, words: Iterable[str]) -> Column:
@@ -92,4 +93,4 @@ def prepare(text: Column, steps: Iterable[Callable[[Column], Column]]) -> Column
 
 def report_tokens(text: Column, stopwords: Iterable[str]) -> Column:
     """The usual chain of the word reports: lower-case, letter tokens, no stop words."""
-    return prepare(text, [F.lower, letter_tokens, lambda tokens: drop_stopwords(tokens, stopwords)])
+    return prepare(text, [F.lower, letter_tokens, lambda tokens: drop_stopwords(tokens, stopwords, True)])

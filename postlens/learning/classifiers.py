@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from postlens.operators.metrics import hard_auc, weighted_metrics
 from postlens.operators.sampling import fold_number
+from postlens.session import materialise
 
 # The settings the published models were trained with.
 DEFAULTS: dict[str, tuple[Callable[..., Estimator], dict]] = {
@@ -131,6 +132,9 @@ def feature_importances(model: Model, df: DataFrame) -> DataFrame:
 
 def evaluate(predictions: DataFrame, label: str = "label") -> DataFrame:
     """All metrics as rows ``(metric, value)``: two aggregates, and the areas by probability score."""
+    kept = [name for name in (label, "prediction", "rawPrediction") if name in predictions.columns]
+    # Written once: every metric reads it, and no prediction is computed twice.
+    predictions = materialise(predictions.select(*kept), "predictions")
     weighted = weighted_metrics(predictions, label)
     hard = hard_auc(predictions, label)
     rows = weighted.unpivot([], weighted.columns, "metric", "value").unionByName(

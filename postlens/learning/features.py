@@ -60,11 +60,16 @@ def fit_features(train: DataFrame, test: DataFrame, vectorizer: Pipeline) -> tup
     return fitted, fitted.transform(train), fitted.transform(test)
 
 
-def bag_of_words(df: DataFrame, tokens: str, vocabulary: int = 1 << 18, min_df: float = 1.0) -> CountVectorizerModel:
-    """A count vectorizer. Its vocabulary is held by the driver, so its size is a parameter."""
-    return CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=vocabulary, minDF=min_df).fit(df)
-
-
-def vocabulary_rows(model: CountVectorizerModel, df: DataFrame) -> DataFrame:
-    words = df.sparkSession.createDataFrame(list(enumerate(model.vocabulary)), "place long, token string")
-    return words.select(F.col("place"), F.col("token"))
+def vocabulary_counts(df: DataFrame, tokens: str, min_df: int = 1) -> DataFrame:
+    """The vocabulary as a frame ``(token, df)``: tokens found in at least ``min_df`` rows, however many."""
+    seen = df.select(F.explode(F.array_distinct(tokens)).alias("token"))
+    return seen.groupBy("token").agg(F.count("*").alias("df")).filter(F.col("df") >= min_df)
+
+
+def bag_of_words(df: DataFrame, tokens: str, vocabulary: int, min_df: int = 1) -> CountVectorizerModel:
+    """A fitted count vectorizer. The model's vocabulary is held by the driver, so its size is stated; if
+    more tokens qualify it is refused, not cut."""
+    qualified = vocabulary_counts(df, tokens, min_df).count()
+    if qualified > vocabulary:
+        raise ValueError(f"{qualified} tokens qualify for a vocabulary of {vocabulary}")
+    return CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=vocabulary, minDF=float(min_df)).fit(df)

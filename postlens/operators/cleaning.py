@@ -52,8 +52,9 @@ def ingest_window(df: DataFrame, column: str, as_of: str, days: int = 5) -> Data
 
 
 def binary_labels(df: DataFrame, column: str = "label") -> DataFrame:
-    """Labels as integers; rows with a null anywhere or a label other than 0 and 1 are dropped."""
-    return df.withColumn(column, F.col(column).try_cast("int")).dropna().filter(F.col(column).isin(0, 1))
+    """Labels as integers, ``1.0`` too; rows with a null anywhere or a label other than 0 and 1 are dropped."""
+    number = to_number(F.col(column))
+    return df.withColumn(column, F.when(number.isin(0.0, 1.0), number.cast("int"))).dropna()
 
 
 def reviewed_labels(df: DataFrame, column: str = "ground_truth_label") -> DataFrame:

@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from postlens.functions.text import is_any
 
 
-def count_tokens(df: DataFrame, tokens: Column | str, min_freq: int = 2) -> DataFrame:
+def without(words: DataFrame, stopwords: Iterable[str]) -> DataFrame:
+    """Rows whose token is no stop word: a filter in generated code, before the shuffle."""
+    listed = sorted(set(stopwords))
+    return words.filter(~is_any(F.col("token"), listed)) if listed else words
+
+
+def count_tokens(df: DataFrame, tokens: Column | str, min_freq: int = 2, stopwords: Iterable[str] = ()) -> DataFrame:
     """How often each token occurs. Map tasks pre-aggregate, so a hot token is one row per task."""
-    words = df.select(F.explode(tokens).alias("token"))
+    words = without(df.select(F.explode(tokens).alias("token")), stopwords)
     return words.groupBy("token").agg(F.count("*").alias("freq")).filter(F.col("freq") >= min_freq)
 
 
@@ -51,9 +57,9 @@ def document_count(df: DataFrame) -> Column:
     return df.agg(F.count("*")).scalar()
 
 
-def compute_idf(df: DataFrame, tokens: Column | str, min_df: int = 2) -> DataFrame:
+def compute_idf(df: DataFrame, tokens: Column | str, min_df: int = 2, stopwords: Iterable[str] = ()) -> DataFrame:
     """Document frequency and ``ln(N / df) + 0.1`` of each token found in at least min_df rows."""
-    seen = df.select(F.explode(F.array_distinct(tokens)).alias("token"))
+    seen = without(df.select(F.explode(F.array_distinct(tokens)).alias("token")), stopwords)
     counts = seen.groupBy("token").agg(F.count("*").alias("df")).filter(F.col("df") >= min_df)
     return counts.withColumn("idf", corpus_idf(document_count(df), F.col("df")))
 
@@ -62,7 +68,9 @@ def corpus_idf(documents: Column, df: Column) -> Column:
     return F.ln(documents / df) + 0.1
 
 
-def token_statistics(df: DataFrame, tokens: Column | str, counted: Column | None = None) -> DataFrame:
+def token_statistics(
+    df: DataFrame, tokens: Column | str, counted: Column | None = None, stopwords: Iterable[str] = ()
+) -> DataFrame:
     """``freq`` over the counted rows and ``df`` over all rows, in one scan and one shuffle.
 
     Sorting a row's tokens puts equal ones side by side, so the first of each run marks the row once
@@ -77,9 +85,9 @@ def token_statistics(df: DataFrame, tokens: Column | str, counted: Column | None
             ((place == 0) | (F.get(F.col("tokens"), place - 1) != token)).alias("first"),
         ),
     )
-    words = ordered.select("counted", F.explode(marked).alias("word"))
-    return words.groupBy(F.col("word.token").alias("token")).agg(
-        F.count_if(F.col("counted")).alias("freq"), F.count_if(F.col("word.first")).alias("df")
+    words = ordered.select("counted", F.explode(marked).alias("word")).select("counted", "word.token", "word.first")
+    return without(words, stopwords).groupBy("token").agg(
+        F.count_if(F.col("counted")).alias("freq"), F.count_if(F.col("first")).alias("df")
     )
 
 
@@ -89,13 +97,14 @@ def corpus_tfidf(
     counted: Column | None = None,
     min_freq: int = 2,
     min_df: int = 2,
+    stopwords: Iterable[str] = (),
 ) -> DataFrame:
     """``freq * idf`` of each token.
 
     The frequency may be taken over some rows only, the IDF always over all. A token below ``min_df``
     keeps its frequency and has a null IDF, as a left join of the two tables gives.
     """
-    stats = token_statistics(df, tokens, counted).filter(F.col("freq") >= min_freq)
+    stats = token_statistics(df, tokens, counted, stopwords).filter(F.col("freq") >= min_freq)
     idf = F.when(F.col("df") >= min_df, corpus_idf(document_count(df), F.col("df")))
     return stats.select("token", "freq", idf.alias("idf")).withColumn("tfidf", F.col("freq") * F.col("idf"))
 
@@ -114,6 +123,21 @@ def union_idf(tables: dict[int, DataFrame]) -> DataFrame:
     return union
 
 
+def sized_idf(df: DataFrame, tokens: dict[int, tuple[Column, int]]) -> DataFrame:
+    """The IDF of several n-gram sizes in one pass over the rows, as ``(token, n, df, idf)``; ``tokens``
+    maps a size to its tokens and the least document frequency."""
+    def rows(n: int, of: Column) -> Column:
+        return F.transform(F.array_distinct(of), lambda token: F.struct(token.alias("token"), F.lit(n).alias("n")))
+
+    parts = [rows(n, of) for n, (of, _) in sorted(tokens.items())]
+    seen = df.select(F.inline(F.concat(*parts)))
+    least = F.lit(None).cast("long")
+    for n, (_, min_df) in tokens.items():
+        least = F.when(F.col("n") == n, min_df).otherwise(least)
+    counts = seen.groupBy("token", "n").agg(F.count("*").alias("df")).filter(F.col("df") >= least)
+    return counts.withColumn("idf", corpus_idf(document_count(df), F.col("df")))
+
+
 def spark_ml_idf(df: DataFrame, tokens: Column | str, min_doc_freq: int = 5) -> DataFrame:
     """The IDF Spark ML gives a term: ``ln((N + 1) / (df + 1))``, 0 below the floor."""
     seen = df.select(F.explode(F.array_distinct(tokens)).alias("token"))

@@ -8,35 +8,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark a frame for broadcast if it holds at most ``max_rows`` narrow rows.
-
-    For frames whose size Spark cannot estimate, such as rows made on the driver. A longer one is
-    returned as it is and is joined by shuffle, where AQE splits hot keys.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, salts: int = 64) -> DataFrame:
+def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first k rows of each group in a total order.
 
-    Up to Spark's group-limit threshold each map task keeps only k rows per group before the shuffle,
-    so a group with a third of all rows costs k rows per task. Beyond the threshold the same is done
-    in two steps: k rows per salted part of a group, then k rows of what is left.
+    First k rows of each group within each input partition, then k of what is left: however large a
+    group is, no task sorts more of it than one partition holds, or k rows of each partition. For
+    small k Spark keeps these rows before the first shuffle.
     """
-    limit = int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000"))
 
     def first_k(rows: DataFrame, by: Sequence[Column | str]) -> DataFrame:
         place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
         return rows.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")
 
-    if k <= limit:
-        return first_k(df, keys)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    return first_k(first_k(salted, [*keys, "_salt"]).drop("_salt"), keys)
+    parted = df.withColumn("_salt", F.spark_partition_id())
+    return first_k(first_k(parted, [*keys, "_salt"]).drop("_salt"), keys)
 
 
 def top_k_with_ties(counts: DataFrame, count: str, k: int) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.values import label_to_int, yes_no
-from postlens.operators.joins import broadcast_if_small
 from postlens.session import materialise
 
 Labeler = Callable[[Sequence[str]], Sequence[str]]
@@ -65,11 +64,11 @@ def with_label_int(df: DataFrame, label: str = "label") -> DataFrame:
 def lexicon_sentiment(df: DataFrame, key: str, tokens: Column | str, lexicon: DataFrame) -> DataFrame:
     """Positive, Negative or Neutral by the sign of the mean token score; unknown tokens score 0.
 
-    The lexicon ``(token, score)`` is broadcast if its row count allows it. Tokens of a row sit in one
+    The lexicon ``(token, score)`` is broadcast if its bytes are under Spark's threshold. Tokens of a row sit in one
     task, so partial sums leave one row per post for the shuffle. A post without tokens is Neutral.
     """
     words = df.select(key, F.explode_outer(tokens).alias("token"))
-    scored = words.join(broadcast_if_small(lexicon.select("token", "score")), "token", "left")
+    scored = words.join(lexicon.select("token", "score"), "token", "left")
     per_post = scored.groupBy(key).agg(
         F.try_divide(F.sum(F.coalesce("score", F.lit(0))), F.count("token")).alias("score")
     )

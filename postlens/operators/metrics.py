@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,14 +22,34 @@ def confusion_cells(df: DataFrame, label: str = "label", prediction: str = "pred
     )
 
 
+def confusion_pairs(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """How often each class was predicted for each actual class: ``(actual, predicted, n)``."""
+    pairs = df.select(F.col(label).cast("int").alias("actual"), F.col(prediction).cast("int").alias("predicted"))
+    return pairs.groupBy("actual", "predicted").agg(F.count("*").alias("n"))
+
+
 def confusion_matrix(
-    df: DataFrame, label: str = "label", prediction: str = "prediction", classes: tuple[int, ...] = (0, 1)
+    df: DataFrame, label: str = "label", prediction: str = "prediction", classes: Sequence[int] | None = None
 ) -> DataFrame:
-    """One row per actual class, one column per predicted class."""
-    pairs = df.select(F.col(label).cast("int").alias("actual"), F.col(prediction).cast("int").alias("predicted"))
-    return pairs.groupBy("actual").agg(
-        *[F.count_if(F.col("predicted") == value).alias(f"predicted_{value}") for value in classes]
-    )
+    """One row per actual class, one column per predicted class.
+
+    Without a list there is a column for every class predicted; with one, predictions of other classes
+    (null too) are counted in ``predicted_other``, so no row of the input is lost.
+    """
+    pairs = confusion_pairs(df, label, prediction)
+    if classes is None:
+        classes = [row["predicted"] for row in pairs.select("predicted").distinct().orderBy("predicted").collect()]
+        return _spread(pairs, [value for value in classes if value is not None], None in classes)
+    return _spread(pairs, classes, True)
+
+
+def _spread(pairs: DataFrame, classes: Sequence[int], other: bool) -> DataFrame:
+    def total(of: Column, name: str) -> Column:
+        return F.sum(F.when(of, F.col("n")).otherwise(0)).alias(name)
+
+    known = F.coalesce(F.col("predicted").isin(list(classes)), F.lit(False)) if classes else F.lit(False)
+    columns = [total(F.col("predicted") == value, f"predicted_{value}") for value in classes]
+    return pairs.groupBy("actual").agg(*columns, *([total(~known, "predicted_other")] if other else []))
 
 
 def binary_prf(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

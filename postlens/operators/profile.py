@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,103 +11,106 @@ from pyspark.sql import types as T
 from postlens.session import materialise
 
 QUARTILES = (0.25, 0.5, 0.75)
-NESTED = ("array", "map", "struct")
 
 
-def _value_counts(df: DataFrame, column: str) -> DataFrame:
-    values = df.select(F.col(column).cast("double").alias("value")).filter(F.col("value").isNotNull())
-    return values.groupBy("value").agg(F.count("*").alias("n"))
+def present(column: str) -> Column:
+    """A value as a number; NaN counts as missing, as null does."""
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
 
 
-def _in_ranges(counts: DataFrame, parts: int) -> DataFrame:
-    """The distinct values with the number of the range they fall into.
+def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """How often each value of each column occurs, ``(column, value, n)``, dealt in parts by range and
+    written once. Equal values are one row before they are shuffled, so a value held by a third of all
+    rows is one row per task."""
+    values = df.select(*[present(name).alias(name) for name in columns]).unpivot([], list(columns), "column", "value")
+    counts = values.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
+    dealt = counts.repartitionByRange("column", "value").withColumn("part", F.spark_partition_id())
+    return materialise(dealt, "value-counts")
 
-    Cut points are approximate quantiles, so ranges hold about as many values each; the exact answer
-    does not depend on them. At most ``parts`` numbers reach the driver.
-    """
-    counts = materialise(counts, "value-counts")
-    cuts = counts.approxQuantile("value", [i / parts for i in range(1, parts)], 0.1 / parts)
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    return Bucketizer(splits=splits, inputCol="value", outputCol="part", handleInvalid="keep").transform(counts)
-
-
-def exact_quantiles(
-    df: DataFrame,
-    column: str,
-    shares: Sequence[float] = QUARTILES,
-    values_per_part: int = 200_000,
-    max_parts: int = 4096,
-) -> DataFrame:
-    """Exact interpolated quantiles as rows ``(share, quantile)``.
-
-    Equal values are counted first, so a value held by a third of the rows is one row. Up to
-    ``values_per_part`` distinct values go into Spark's own percentile, whose memory grows with them.
-    More are cut into ranges; the running total over the ranges (at most ``max_parts`` rows) tells
-    where a rank lies, and only the ranges that hold a wanted rank are sorted, each on its own.
+
+def _quantiles(counts: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """Exact interpolated quantiles as rows ``(column, share, quantile)``.
+
+    The running total over a column's parts tells in which part a rank lies; only these parts are
+    sorted, each on its own.
     """
-    counts = _value_counts(df, column)
-    distinct = counts.count()
-    if distinct <= values_per_part:
-        wanted = [float(share) for share in shares]
-        found = counts.agg(F.percentile("value", wanted, F.col("n")).alias("found"))
-        return found.select(F.inline(F.arrays_zip(F.lit(wanted), F.col("found"))).alias("share", "quantile"))
-    return _quantiles_by_ranges(_in_ranges(counts, min(max_parts, distinct // values_per_part + 1)), shares)
-
-
-def _quantiles_by_ranges(counts: DataFrame, shares: Sequence[float]) -> DataFrame:
-    sizes = counts.groupBy("part").agg(F.sum("n").alias("size"))
-    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy()
+    sizes = counts.groupBy("column", "part").agg(F.sum("n").alias("size"))
+    whole = Window.partitionBy("column")
+    upto = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = sizes.select(
+        "column",
         "part",
         (F.sum("size").over(upto) - F.col("size")).alias("before"),
-        F.col("size"),
+        "size",
         F.sum("size").over(whole).alias("total"),
     )
-    wanted = F.array(*[F.struct(F.lit(float(s)).alias("share"), ((F.col("total") - 1) * F.lit(float(s))).alias("rank")) for s in shares])
-    ranks = placed.select("part", "before", "size", F.explode(wanted).alias("want")).select("part", "before", "size", "want.*")
+    wanted = [F.lit(float(share)) for share in shares]
+    ranks = placed.withColumn("share", F.explode(F.array(*wanted)))
+    ranks = ranks.withColumn("rank", (F.col("total") - 1) * F.col("share"))
     # Interpolation needs the values at the ranks below and above.
-    ranks = ranks.select(
-        "part", "before", "size", "share", "rank", F.explode(F.array(F.floor("rank"), F.ceil("rank"))).alias("place")
-    ).filter((F.col("place") >= F.col("before")) & (F.col("place") < F.col("before") + F.col("size")))
-    needed = counts.join(ranks.select("part", "before").distinct(), "part")
-    within = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranks = ranks.withColumn("place", F.explode(F.array(F.floor("rank"), F.ceil("rank"))))
+    ranks = ranks.filter((F.col("place") >= F.col("before")) & (F.col("place") < F.col("before") + F.col("size")))
+    needed = counts.join(ranks.select("column", "part", "before").distinct(), ["column", "part"])
+    within = Window.partitionBy("column", "part").orderBy("value")
+    within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ends = needed.withColumn("end", F.col("before") + F.sum("n").over(within))
-    ends = ends.select("part", "value", (F.col("end") - F.col("n")).alias("start"), "end")
-    found = ends.join(ranks.drop("before", "size"), "part").filter(
+    ends = ends.select("column", "part", "value", (F.col("end") - F.col("n")).alias("start"), "end")
+    found = ends.join(ranks.drop("before", "size"), ["column", "part"]).filter(
         (F.col("place") >= F.col("start")) & (F.col("place") < F.col("end"))
     )
     low = F.min(F.when(F.col("place") == F.floor("rank"), F.col("value")))
     high = F.max(F.when(F.col("place") == F.ceil("rank"), F.col("value")))
-    part_of_step = F.first(F.col("rank") - F.floor("rank"))
-    return found.groupBy("share").agg((low + (high - low) * part_of_step).alias("quantile"))
+    step = F.first(F.col("rank") - F.floor("rank"))
+    # Between two equal infinities there is no difference to take a part of.
+    between = F.when(low == high, low).otherwise(low + (high - low) * step)
+    return found.groupBy("column", "share").agg(between.alias("quantile"))
 
 
-def numeric_profile(df: DataFrame, column: str) -> DataFrame:
-    """count, mean, std, min, quartiles and max as rows ``(statistic, value)``."""
-    value = F.col(column).cast("double")
-    # NaN counts as missing.
-    present = F.when(~F.isnan(value), value)
-    basic = df.select(present.alias("v")).agg(
-        F.count("v").cast("double").alias("count"),
-        F.mean("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-    )
-    rows = basic.unpivot([], ["count", "mean", "std", "min", "max"], "statistic", "value")
-    quantiles = exact_quantiles(df.select(present.alias(column)), column)
-    named = F.concat((F.col("share") * 100).cast("int").cast("string"), F.lit("%"))
-    return rows.unionByName(quantiles.select(named.alias("statistic"), F.col("quantile").alias("value")))
+def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float] = QUARTILES) -> DataFrame:
+    """Exact interpolated quantiles of the present values, as rows ``(share, quantile)``."""
+    return _quantiles(_value_counts(df, [column]), shares).select("share", "quantile")
 
 
 def numeric_profiles(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """The profile of several columns, by default of all numeric ones, as rows ``(column, statistic, value)``."""
-    names = columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+    """count, mean, std, min, quartiles and max of several columns, by default of all numeric ones, as
+    rows ``(column, statistic, value)``.
+
+    The table is scanned once; everything else comes out of the counts of its values.
+    """
+    names = list(columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)])
     if not names:
         raise ValueError("no numeric columns")
-    profiles = [numeric_profile(df, name).select(F.lit(name).alias("column"), "statistic", "value") for name in names]
-    return reduce(DataFrame.unionByName, profiles)
+    counts = _value_counts(df, names)
+    total = F.sum("n").cast("double")
+    basic = counts.groupBy("column").agg(
+        total.alias("count"),
+        (F.sum(F.col("value") * F.col("n")) / total).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    # Squares are summed around the mean, which keeps their digits.
+    off = counts.join(F.broadcast(basic.select("column", "mean")), "column")
+    squares = off.groupBy("column").agg(F.sum(F.col("n") * (F.col("value") - F.col("mean")) ** 2).alias("squares"))
+    # Columns without a value are in no count.
+    every = df.sparkSession.createDataFrame([(name,) for name in names], "column string")
+    wide = every.join(basic, "column", "left").join(squares, "column", "left").select(
+        "column",
+        F.coalesce("count", F.lit(0.0)).alias("count"),
+        "mean",
+        F.sqrt(F.try_divide("squares", F.col("count") - 1)).alias("std"),
+        "min",
+        "max",
+    )
+    rows = wide.unpivot(["column"], ["count", "mean", "std", "min", "max"], "statistic", "value")
+    named = F.concat((F.col("share") * 100).cast("int").cast("string"), F.lit("%"))
+    quantiles = _quantiles(counts, QUARTILES)
+    return rows.unionByName(quantiles.select("column", named.alias("statistic"), F.col("quantile").alias("value")))
+
+
+def numeric_profile(df: DataFrame, column: str) -> DataFrame:
+    """The profile of one column as rows ``(statistic, value)``."""
+    return numeric_profiles(df, [column]).select("statistic", "value")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -120,10 +120,19 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Distinct values per column, null left out, as rows ``(column, n_distinct)``."""
+    """Distinct values per column, null left out, as rows ``(column, n_distinct)``.
+
+    Each value goes to the shuffle once per task as ``(column, digest)``; counting several columns in one
+    aggregate would carry every column of every copy of a row.
+    """
     columns = list(columns or df.columns)
-    counts = df.agg(*[F.count_distinct(name).alias(name) for name in columns])
-    return counts.unpivot([], columns, "column", "n_distinct")
+    kinds = {f.name: f.dataType for f in df.schema}
+    marks = [
+        F.when(F.col(name).isNotNull(), F.sha2(F.to_json(F.struct(comparable(F.col(name), kinds[name]))), 256)).alias(name)
+        for name in columns
+    ]
+    values = df.select(*marks).unpivot([], columns, "column", "digest").distinct()
+    return values.groupBy("column").agg(F.count("digest").alias("n_distinct"))
 
 
 def table_info(df: DataFrame) -> DataFrame:
@@ -135,9 +144,12 @@ def table_info(df: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, width: float) -> DataFrame:
-    """Rows per bin of fixed width, by the lower edge of the bin."""
-    edge = F.floor(F.col(column) / F.lit(width)) * F.lit(width)
-    return df.filter(F.col(column).isNotNull()).groupBy(edge.alias("bin_start")).agg(F.count("*").alias("n"))
+    """Rows per bin of fixed width, by the lower edge of the bin. NaN is missing; each infinity is a bin
+    of its own."""
+    infinite = F.abs("value") == F.lit(float("inf"))
+    edge = F.when(infinite, F.col("value")).otherwise(F.floor(F.when(~infinite, F.col("value")) / F.lit(width)) * F.lit(width))
+    values = df.select(present(column).alias("value")).filter(F.col("value").isNotNull())
+    return values.groupBy(edge.alias("bin_start")).agg(F.count("*").alias("n"))
 
 
 def box_statistics(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
@@ -150,7 +162,7 @@ def box_statistics(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
     if q1 is None:
         return quartiles.select("*", *[F.lit(None).cast("double").alias(n) for n in ("low", "high")], F.lit(0).cast("long").alias("n_outliers"))
     low, high = q1 - reach * (q3 - q1), q3 + reach * (q3 - q1)
-    value: Column = F.col(column)
+    value = present(column)
     inside = value.between(low, high)
     return df.agg(
         F.lit(q1).alias("q1"),
@@ -162,14 +174,35 @@ def box_statistics(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
     )
 
 
+def comparable(value: Column, kind: T.DataType) -> Column:
+    """A value such that equal values, and no others, have the same JSON: as text with full precision,
+    binary in hex, both zeros and all NaNs as one; the same inside arrays, structs and maps."""
+    if isinstance(kind, T.BinaryType):
+        return F.hex(value)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (value + F.lit(0.0).cast(kind)).cast("string")
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda item: comparable(item, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = [comparable(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.MapType):
+        pairs = F.map_entries(value)
+        entry = lambda pair: F.struct(
+            comparable(pair["key"], kind.keyType).alias("key"), comparable(pair["value"], kind.valueType).alias("value")
+        )
+        return F.array_sort(F.transform(pairs, entry))
+    return value.cast("string")
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in all columns: ``(n_rows, n_distinct, n_duplicates)``.
 
     Rows are compared by a 256-bit digest of all their values, so the shuffle carries 32 bytes per
     distinct row and map tasks collapse a row that comes very often.
     """
-    # As text every value keeps its full precision; a null field is left out of the JSON.
-    values = [F.col(f.name) if f.dataType.typeName() in NESTED else F.col(f.name).cast("string").alias(f.name) for f in df.schema]
+    # A null field is left out of the JSON.
+    values = [comparable(F.col(f.name), f.dataType).alias(f.name) for f in df.schema]
     digest = F.unhex(F.sha2(F.to_json(F.struct(*values)), 256))
     copies = df.groupBy(digest.alias("digest")).agg(F.count("*").alias("n"))
     return copies.agg(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from postlens.operators.cleaning import flagged
 from postlens.operators.joins import top_k_per_group, top_k_with_ties
+from postlens.session import materialise
 
 
 def counts_by(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:
@@ -30,13 +31,27 @@ def distinct_count(column: str, count_null: bool = False) -> Column:
     return count + F.max(F.col(column).isNull().cast("int")) if count_null else count
 
 
-def dashboard_totals(df: DataFrame, count_null: bool = False) -> DataFrame:
-    return df.agg(
-        distinct_count("sub_reddit", count_null).alias("n_subreddits"),
-        distinct_count("submission_id", count_null).alias("n_submissions"),
-        distinct_count("comment_id", count_null).alias("n_comments"),
-        F.max("date_local").alias("latest_day"),
-    )
+def dashboard_totals(df: DataFrame, count_null: bool = False, approximate: bool = False) -> DataFrame:
+    """Distinct subreddits, submissions and comments, and the latest local day.
+
+    The distinct values of all columns are found in one scan and one shuffle of ``(column, value)``;
+    ``approximate`` counts by sketches instead and shuffles next to nothing.
+    """
+    names = {"n_subreddits": "sub_reddit", "n_submissions": "submission_id", "n_comments": "comment_id"}
+    if approximate:
+        nulls = [F.max(F.col(column).isNull().cast("int")) if count_null else F.lit(0) for column in names.values()]
+        counts = [F.approx_count_distinct(column) + null for column, null in zip(names.values(), nulls)]
+        return df.agg(*[count.alias(name) for name, count in zip(names, counts)], F.max("date_local").alias("latest_day"))
+    values = df.select(*[F.col(column).cast("string").alias(name) for name, column in names.items()],
+                       F.col("date_local").cast("string").alias("latest_day"))
+    found = values.unpivot([], values.columns, "name", "value").distinct()
+
+    def count(name: str) -> Column:
+        known = F.col("value").isNotNull() | F.lit(count_null)
+        return F.count_if((F.col("name") == name) & known).alias(name)
+
+    latest = F.max(F.when(F.col("name") == "latest_day", F.col("value")))
+    return found.agg(*[count(name) for name in names], latest.cast("date").alias("latest_day"))
 
 
 def daily_by_sub(df: DataFrame) -> DataFrame:
@@ -53,7 +68,7 @@ def author_by_prediction(df: DataFrame) -> DataFrame:
 
 def top_authors_by_prediction(df: DataFrame, k: int = 10) -> DataFrame:
     """Counts per prediction of the k authors with most flagged comments, ties included."""
-    counts = author_by_prediction(df)
+    counts = materialise(author_by_prediction(df), "author-counts")
     top = top_k_with_ties(flagged(counts), "no_comment", k)
     return counts.join(top.select("author"), "author", "left_semi")
 

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from postlens.functions.values import hash_fraction, seeded
 
-# 3 hex digits of the digest give 4,096 parts per stratum.
-PART_DIGITS = 3
+# Draws of a stratum that one row stands for before they are dealt out.
 DRAWS_PER_ROW = 10_000
 
 
@@ -39,15 +38,19 @@ def strata_quotas(df: DataFrame, strata: Sequence[str], n: int) -> DataFrame:
     return sizes.withColumn("quota", F.floor(F.lit(n) * F.col("size") / total).cast("long"))
 
 
-def stratum_positions(df: DataFrame, strata: Sequence[str], key: str, seed: int | str = "") -> DataFrame:
+def stratum_positions(
+    df: DataFrame, strata: Sequence[str], key: str, seed: int | str = "", part_digits: int = 3
+) -> DataFrame:
     """Each key's place, from 0, in its stratum in hash order: ``(strata…, key, position)``.
 
     Numbering a whole stratum in one window would put a third of all rows into one task. The first
     digits of the digest cut a stratum into even parts; parts are numbered on their own and shifted
-    by the sizes of the parts before them. Only keys are shuffled, never texts.
+    by the sizes of the parts before them. Only keys are shuffled, never texts. ``part_digits`` hex digits
+    give 16 times as many parts each: choose it so that a part of the largest stratum is a few million
+    keys (3 digits: strata up to some ten thousand million rows).
     """
     digest = F.md5(seeded(F.col(key), seed))
-    narrow = df.select(*strata, key, digest.alias("_digest"), F.substring(digest, 1, PART_DIGITS).alias("_part"))
+    narrow = df.select(*strata, key, digest.alias("_digest"), F.substring(digest, 1, part_digits).alias("_part"))
     by = [*strata, "_part"]
     sizes = narrow.groupBy(*by).agg(F.count("*").alias("_size"))
     earlier = Window.partitionBy(*strata).orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -66,6 +69,8 @@ def _draws(quotas: DataFrame, strata: Sequence[str], seed: int | str) -> DataFra
     chunks = quotas.filter(F.col("quota") > 0).withColumn(
         "_from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("quota"), F.lit(DRAWS_PER_ROW).cast("long")))
     )
+    # The draws of one stratum are made by many tasks.
+    chunks = chunks.repartition(*strata, "_from")
     upto = F.least(F.col("_from") + DRAWS_PER_ROW - 1, F.col("quota"))
     draws = chunks.withColumn("draw", F.explode(F.sequence(F.col("_from"), upto))).drop("_from")
     name = F.concat_ws(":", *[F.col(s).cast("string") for s in strata], F.col("draw").cast("string"))

@@ -250,10 +250,22 @@ SELECT '{column}' AS "column", statistic, round(value, 6) AS value FROM (UNPIVOT
          CAST(max({column}) AS DOUBLE) AS max FROM lineitem) ON COLUMNS(*) INTO NAME statistic VALUE value)"""
 
 
-@query(" UNION ALL ".join(_profile_sql(column) for column in ("l_quantity", "l_extendedprice", "l_linenumber")))
+LINEITEM_NUMBERS = [
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+]
+
+
+@query(" UNION ALL ".join(_profile_sql(column) for column in LINEITEM_NUMBERS))
 def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ["l_quantity", "l_extendedprice", "l_linenumber"]
-    return pf.numeric_profiles(table(spark, sf_dir, "lineitem"), columns).withColumn("value", F.round("value", 6))
+    """All numeric columns."""
+    return pf.numeric_profiles(table(spark, sf_dir, "lineitem")).withColumn("value", F.round("value", 6))
 
 
 @query("""

@@ -115,9 +115,8 @@ SELECT tp, fp, tn, fn, round((tp + tn) / (tp + fp + tn + fn), 6) AS accuracy, ro
 def label_vs_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A labeler's answers against the reviewed labels."""
     truth = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    rows = documents(spark, sf_dir).join(truth, "doc_id")
-    answers = lb.label_with(rows, "text", lb.keyword_labeler(KEYWORDS), "answer", columns=["label"])
-    report = mt.label_report(answers.withColumn("prediction", label_to_int(F.col("answer"))))
+    answers = lb.label_with(documents(spark, sf_dir), "text", lb.keyword_labeler(KEYWORDS), "answer", columns=["doc_id"])
+    report = mt.label_report(answers.join(truth, "doc_id").withColumn("prediction", label_to_int(F.col("answer"))))
     return report.withColumns({name: F.round(name, 6) for name in ("accuracy", "precision", "recall", "f1")})
 
 

@@ -2,28 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from itertools import product
+
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postlens.functions.stopwords import MODEL_SHORT
+from postlens.functions.stopwords import ENGLISH, MODEL_EXTRA, MODEL_SHORT, NLTK_ONLY, SPARK_ONLY
 from postlens.learning import classifiers as cf
 from postlens.learning import features as ft
 from postlens.learning import scoring as sc
 from postlens.operators.cleaning import clean_posts
+from postlens.operators.metrics import label_report
 from postlens.operators.sampling import hash_split
 from postlens.plans.registry import query
-from postlens.plans.tables import documents, table
+from postlens.plans.tables import documents, hash_sql, table, word_list_sql
 from postlens.session import materialise, scratch_path
 
 TEXT = {"text": "body_cleaned"}
 
 
-def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_counts(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
+    """The counting stages, and the hashed term counts of the labelled documents. Texts are counted where
+    they are read; the join with the labels moves counts."""
+    counting = ft.hashed_counts("body_cleaned")
+    posts = clean_posts(documents(spark, sf_dir), TEXT).select("doc_id", "body_cleaned")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
-    return clean_posts(documents(spark, sf_dir), TEXT).join(labels, "doc_id").select("doc_id", "body_cleaned", "label")
+    return counting, counting.transform(posts).select("doc_id", "rawFeatures").join(labels, "doc_id")
 
 
 def vectorised(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame, DataFrame]:
@@ -31,83 +38,175 @@ def vectorised(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFra
 
     Texts are read once: their term counts are written, and both the IDF and the models start there.
     """
-    counting = ft.hashed_counts("body_cleaned")
-    counted = counting.transform(labelled_texts(spark, sf_dir)).select("doc_id", "label", "rawFeatures")
-    train, test = hash_split(materialise(counted, "term-counts"), "doc_id", 80, 42)
+    counting, counted = labelled_counts(spark, sf_dir)
+    counted = materialise(counted.select("doc_id", "label", "rawFeatures"), "term-counts")
+    train, test = hash_split(counted, "doc_id", 80, 42)
     idf = ft.idf_stage().fit(train)
     return ft.with_idf(counting, idf), idf.transform(train), idf.transform(test)
 
 
-def _train(spark: SparkSession, sf_dir: str, name: str, small: bool = True) -> DataFrame:
-    _, train, test = vectorised(spark, sf_dir)
-    model = cf.make_classifier(name, small=small).fit(train)
-    return cf.evaluate(model.transform(test)).select(F.lit(name).alias("model"), "metric", F.round("value", 6).alias("value"))
+def wrong_predictions() -> Column:
+    """Rows whose prediction is neither 0 nor 1, or not the class with the greatest probability."""
+    share = vector_to_array("probability")
+    likeliest = F.when(share[1] > share[0], 1.0).otherwise(0.0)
+    valid = F.col("prediction").isin(0.0, 1.0) & (F.col("prediction") == likeliest)
+    return F.count_if(~F.coalesce(valid, F.lit(False)))
 
 
-@query()
+def _train(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Facts that must hold for any model: the rows it learned from and scored, valid predictions, and
+    metrics that agree with the confusion cells of the stored predictions."""
+    _, train, test = vectorised(spark, sf_dir)
+    model = cf.make_classifier(name).fit(train)
+    scored = model.transform(test).select("doc_id", "label", "prediction", "rawPrediction", "probability")
+    scored = materialise(scored, "scored")
+    metrics = {row["metric"]: row["value"] for row in cf.evaluate(scored).collect()}
+    cells = label_report(scored).select("tp", "fp", "tn", "fn", "accuracy", "recall")
+    inside = all(value is None or 0 <= value <= 1 for value in metrics.values())
+    agree = F.abs(F.col("accuracy") - F.lit(metrics["accuracy"])) < 1e-9
+    rows = scored.agg(F.count("*").alias("n_scored"), wrong_predictions().alias("n_wrong"))
+    counted = cells.select((F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("n_cells"), agree.alias("agree"))
+    found = rows.join(counted, F.col("n_scored") == F.col("n_cells"), "left")
+    return found.select(
+        F.lit(name).alias("model"),
+        F.lit(train.count()).alias("n_train"),
+        "n_scored",
+        "n_wrong",
+        (F.coalesce("agree", F.lit(False)) & F.lit(inside)).alias("metrics_agree"),
+    )
+
+
+def _train_sql(name: str) -> str:
+    bucket = hash_sql("doc_id", 100, "42")
+    return f"""
+SELECT '{name}' AS model, count(*) FILTER (WHERE {bucket} < 80) AS n_train, count(*) FILTER (WHERE {bucket} >= 80) AS n_scored,
+       0 AS n_wrong, true AS metrics_agree FROM documents JOIN labels USING (doc_id)"""
+
+
+@query(_train_sql("logistic_regression"))
 def train_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _train(spark, sf_dir, "logistic_regression")
 
 
-@query()
+@query(_train_sql("decision_tree"))
 def train_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _train(spark, sf_dir, "decision_tree")
 
 
-@query()
+@query(_train_sql("random_forest"))
 def train_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _train(spark, sf_dir, "random_forest")
 
 
-@query()
+@query(_train_sql("gradient_boosting"))
 def train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _train(spark, sf_dir, "gradient_boosting")
 
 
-@query()
-def cv_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean score of each cell of the logistic-regression grid over four folds."""
+def _search(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One row per parameter of each grid cell; scores lie between 0 and 1 and the best is the highest."""
     _, train, _ = vectorised(spark, sf_dir)
-    return cf.grid_scores(cf.cross_validate(train, "lr", key="doc_id", parallelism=3), train)
+    scores = cf.grid_scores(cf.cross_validate(train, name, key="doc_id", parallelism=3), train)
+    highest = scores.agg(F.max("mean_score")).first()[0]
+    return scores.select(
+        "cell",
+        "parameter",
+        "value",
+        F.col("mean_score").between(0, 1).alias("is_share"),
+        (F.col("best") == (F.col("mean_score") == F.lit(highest))).alias("best_is_highest"),
+    )
+
+
+def _search_sql(name: str) -> str:
+    grid = cf.GRIDS[cf.full_name(name)]
+    cells = [dict(zip(grid, values)) for values in product(*grid.values())]
+    rows = [f"({i}, '{key}', {float(value)}, true, true)" for i, cell in enumerate(cells) for key, value in cell.items()]
+    return f"""
+SELECT * FROM (VALUES {", ".join(rows)}) AS grid(cell, parameter, value, is_share, best_is_highest)
+WHERE EXISTS (SELECT 1 FROM documents JOIN labels USING (doc_id))"""
+
+
+@query(_search_sql("lr"))
+def cv_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logistic-regression grid over four folds."""
+    return _search(spark, sf_dir, "lr")
 
 
-@query()
+@query(_search_sql("dt"))
 def cv_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean score of each cell of the decision-tree grid over four folds."""
-    _, train, _ = vectorised(spark, sf_dir)
-    return cf.grid_scores(cf.cross_validate(train, "dt", key="doc_id", parallelism=3), train)
+    """The decision-tree grid over four folds."""
+    return _search(spark, sf_dir, "dt")
 
 
-@query()
+@query("""
+SELECT true AS in_range, true AS sums_to_one, true AS some FROM labels LIMIT 1""")
 def tree_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The importances of a tree's features: shares of 1, for features that exist."""
     _, train, _ = vectorised(spark, sf_dir)
-    return cf.feature_importances(cf.make_classifier("dt", small=True).fit(train), train)
+    found = cf.feature_importances(cf.make_classifier("dt", small=True).fit(train), train)
+    return found.agg(
+        F.every(F.col("importance").between(0, 1) & F.col("feature").between(0, 9_999)).alias("in_range"),
+        (F.abs(F.sum("importance") - 1) < 1e-6).alias("sums_to_one"),
+        (F.count("*") > 0).alias("some"),
+    )
 
 
-def _saved_models(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+def _fitted(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, Model]:
     vectorizer, train, _ = vectorised(spark, sf_dir)
+    return vectorizer, cf.make_classifier("lr").fit(train)
+
+
+def _saved(spark: SparkSession, vectorizer: PipelineModel, model: Model) -> tuple[str, str]:
     paths = scratch_path(spark, "vectorizer"), scratch_path(spark, "model")
     sc.save_model(vectorizer, paths[0])
-    sc.save_model(cf.make_classifier("lr").fit(train), paths[1])
+    sc.save_model(model, paths[1])
     return paths
 
 
-@query()
+def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_posts(documents(spark, sf_dir, "lang"), TEXT).drop("text")
+
+
+def _same_as_before_saving(spark: SparkSession, sf_dir: str, vectorizer: PipelineModel, model: Model) -> DataFrame:
+    """All documents scored with the model as it was fitted and as it was saved and loaded."""
+    posts = _posts(spark, sf_dir)
+    fitted = sc.score(posts, vectorizer, model).select("doc_id", F.col("prediction").alias("before"))
+    loaded = sc.score_saved(posts, *_saved(spark, vectorizer, model)).select("doc_id", "lang", "prediction")
+    # Both are narrow; a document has one row.
+    both = loaded.join(fitted, "doc_id")
+    return both.select(
+        "doc_id", "lang", F.col("prediction").isin(0.0, 1.0).alias("valid"), (F.col("prediction") == F.col("before")).alias("same")
+    )
+
+
+SAME_SQL = "SELECT doc_id, lang, true AS valid, true AS same FROM documents"
+
+
+@query(SAME_SQL)
 def score_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents scored with models that were saved and loaded again."""
-    posts = clean_posts(documents(spark, sf_dir, "lang"), TEXT).drop("text")
-    return sc.score_saved(posts, *_saved_models(spark, sf_dir)).select("doc_id", "lang", "prediction")
+    return _same_as_before_saving(spark, sf_dir, *_fitted(spark, sf_dir))
 
 
-@query()
+@query(SAME_SQL)
+def score_saved_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for a cross-validated model: it scores with the best cell's."""
+    vectorizer, train, _ = vectorised(spark, sf_dir)
+    return _same_as_before_saving(spark, sf_dir, vectorizer, cf.cross_validate(train, "lr", key="doc_id", parallelism=3))
+
+
+@query("""
+SELECT nth, true AS descending, true AS is_share FROM (
+  SELECT row_number() OVER (ORDER BY doc_id) AS nth FROM documents) WHERE nth <= 20""")
 def ranked_by_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents most likely to be flagged, most likely first."""
-    vectorizer_path, model_path = _saved_models(spark, sf_dir)
-    posts = clean_posts(documents(spark, sf_dir, "lang"), TEXT).drop("text")
-    scored = sc.transform(posts, sc.load_model(spark, vectorizer_path), sc.load_model(spark, model_path))
+    """The documents most likely to be flagged, most likely first: 20 places, or all documents."""
+    vectorizer, model = _fitted(spark, sf_dir)
     # Few documents are toxic, so the model may flag none at its own threshold.
-    ranked = sc.ranked_by_probability(scored, 20, "doc_id", only_flagged=False)
-    return ranked.select("doc_id", "lang", F.round("p_flagged", 6).alias("p_flagged"))
+    ranked = sc.ranked_by_probability(sc.transform(_posts(spark, sf_dir), vectorizer, model), 20, "doc_id", only_flagged=False)
+    # A list of at most 20 rows: its order is what is looked at.
+    listed = materialise(ranked.select("doc_id", "p_flagged").coalesce(1).withColumn("place", F.monotonically_increasing_id()), "ranked")
+    by_place = Window.orderBy("place")
+    falls = F.coalesce(F.lag("p_flagged").over(by_place) >= F.col("p_flagged"), F.lit(True))
+    return listed.select((F.col("place") + 1).alias("nth"), falls.alias("descending"), F.col("p_flagged").between(0, 1).alias("is_share"))
 
 
 @query("""
@@ -129,7 +228,18 @@ SELECT doc_id, md5(string_agg(token, ' ' ORDER BY i)) AS words_md5 FROM (
     SELECT doc_id, string_split_regex(lower(text), '[^A-Za-z0-9_]') AS tokens FROM documents))
 WHERE token <> '' AND token NOT IN ('is', 'like', 'and', 'the') GROUP BY doc_id""")
 def feature_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the tokenizer and stop-word stages hand to the hashing stage."""
+    """What the tokenizer and stop-word stages hand to the hashing stage, with the short word list."""
     rows = documents(spark, sf_dir)
     kept = ft.hashed_counts("text", MODEL_SHORT).transform(rows).filter(F.size("filtered") > 0)
     return kept.select("doc_id", F.md5(F.array_join("filtered", " ")).alias("words_md5"))
+
+
+@query(f"""
+SELECT doc_id, md5(string_agg(token, ' ' ORDER BY i)) AS words_md5 FROM (
+  SELECT doc_id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS i FROM (
+    SELECT doc_id, string_split_regex(lower(text), '[^A-Za-z0-9_]') AS tokens FROM documents))
+WHERE token <> '' AND token NOT IN {word_list_sql((set(ENGLISH) - set(NLTK_ONLY)) | set(SPARK_ONLY) | set(MODEL_EXTRA))} GROUP BY doc_id""")
+def feature_tokens_english(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with Spark's English words and the extras of the models."""
+    kept = ft.hashed_counts("text").transform(documents(spark, sf_dir)).filter(F.size("filtered") > 0)
+    return kept.select("doc_id", F.md5(F.array_join("filtered", " ")).alias("words_md5"))

@@ -131,8 +131,8 @@ def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT prediction, label, count(*) AS n FROM (SELECT toxic AS label, CAST(quality = 0 AS INTEGER) AS prediction FROM labels)
 GROUP BY ALL""")
 def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A small report as one CSV file."""
+    """A report as CSV, read back."""
     path = scratch_path(spark, "report-csv")
     counts = rule_predictions(spark, sf_dir).groupBy("prediction", "label").agg(F.count("*").alias("n"))
-    writers.write_csv_report(counts, path, rows=100)
+    writers.write_csv(counts, path)
     return readers.read_csv(spark, path, T.StructType.fromDDL("prediction int, label int, n long"))

@@ -72,21 +72,24 @@ def stream_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id AS comment_id, event_type AS sub_reddit FROM events")
 def stream_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each comment comes twice, as when ingest pulls a window again; it is stored once."""
+    """Each comment comes twice, as when ingest pulls a window again; it is stored once. The delay covers the
+    days of the table, and ids older than that leave the state."""
     out, checkpoint = scratch_path(spark, "single"), scratch_path(spark, "single-progress")
     twice = _event_stream(spark, sf_dir).withColumn("pull", F.explode(F.array(F.lit(1), F.lit(2)))).drop("pull")
-    single = jobs.without_repeats(twice, "dt").select("comment_id", "sub_reddit")
+    single = jobs.without_repeats(twice, "dt", delay="60 days").select("comment_id", "sub_reddit")
     jobs.run_to_end(lambda: jobs.write_stream(single, out, checkpoint, once=True))
     return spark.read.parquet(out)
 
 
-@query()
+@query("SELECT doc_id, count(*) AS times, true AS valid FROM documents GROUP BY doc_id")
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents cleaned and scored as they come."""
+    """Documents cleaned and scored as they come: each once, as 0 or 1."""
     vectorizer, train, _ = vectorised(spark, sf_dir)
     model = make_classifier("lr").fit(train)
     out, checkpoint = scratch_path(spark, "scored"), scratch_path(spark, "scored-progress")
     stream = _stream(spark, sf_dir, "documents").select("doc_id", "text")
     scored = jobs.score_stream(stream, vectorizer, model, {"text": "body_cleaned"}).select("doc_id", "prediction")
     jobs.run_to_end(lambda: jobs.write_stream(scored, out, checkpoint, once=True))
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).groupBy("doc_id").agg(
+        F.count("*").alias("times"), F.every(F.col("prediction").isin(0.0, 1.0)).alias("valid")
+    )

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from postlens.functions.stopwords import ENGLISH, EXPLORATION
 from postlens.operators.cleaning import with_local_time
-from postlens.session import spread_small
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,15 +33,19 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Documents for text work, spread over the cores where the file is small."""
-    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text", *columns))
+    return table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
 
 
-def flagged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents labelled toxic. The wanted ids are few, so Spark broadcasts them or filters the scan by
-    a Bloom filter of them before any text is shuffled."""
-    toxic = table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id")
-    return documents(spark, sf_dir).join(toxic, "doc_id", "left_semi")
+def flagged_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the documents labelled toxic."""
+    return table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id").distinct()
+
+
+def with_flag(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with ``is_flagged``. Call it on rows that hold tokens already: if the ids are too many to
+    broadcast, the join moves those and no texts."""
+    flags = flagged_ids(spark, sf_dir).withColumn("is_flagged", F.lit(True))
+    return rows.join(flags, "doc_id", "left").withColumn("is_flagged", F.coalesce("is_flagged", F.lit(False)))
 
 
 def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

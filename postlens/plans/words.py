@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postlens.functions import text as tx
 from postlens.functions.stopwords import ENGLISH, EXPLORATION, MODEL_SHORT
-from postlens.learning.features import bag_of_words, vocabulary_rows
+from postlens.learning.features import vocabulary_counts
 from postlens.operators import frequency as fq
 from postlens.plans.registry import query
 from postlens.plans.tables import (
@@ -16,28 +16,26 @@ from postlens.plans.tables import (
     SPACES_SQL,
     URL_SQL,
     documents,
-    flagged_documents,
+    flagged_ids,
     grams_sql,
     letters_sql,
     table,
+    with_flag,
     word_list_sql,
     words_sql,
 )
-from postlens.session import spread_small
 
 FLAGGED_SQL = "(SELECT doc_id FROM labels WHERE toxic = 1)"
 
 
-def _words() -> Column:
-    return tx.report_tokens(F.col("text"), ENGLISH)
-
-
 def _grams(n: int) -> Column:
     return tx.ngrams(F.col("letters"), n, stopwords=ENGLISH)
 
 
-def _with_letters(df: DataFrame) -> DataFrame:
-    return df.withColumn("letters", tx.prepare(F.col("text"), [F.lower, tx.letter_tokens]))
+def _letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as lower-case letter tokens; the text itself goes no further."""
+    letters = tx.prepare(F.col("text"), [F.lower, tx.letter_tokens])
+    return documents(spark, sf_dir).select("doc_id", letters.alias("letters"))
 
 
 @query(f"""
@@ -46,7 +44,7 @@ cleaned AS (SELECT page_id, lower(regexp_replace(body, '{URL_SQL}|\\n', '', 'g')
 SELECT page_id, md5(body_cleaned) AS body_md5, CAST(length(body_cleaned) AS INTEGER) AS n_chars FROM cleaned""")
 def clean_pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat("url", F.lit("\nsee "), "url", F.lit(" "), "html")
-    pages = spread_small(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
     cleaned = pages.select("page_id", tx.clean_text(body).alias("body_cleaned"))
     return cleaned.select("page_id", F.md5("body_cleaned").alias("body_md5"), F.char_length("body_cleaned").alias("n_chars"))
 
@@ -57,7 +55,7 @@ joined AS (SELECT doc_id, count(*) AS n, string_agg(token, ' ' ORDER BY i) AS ke
 SELECT d.doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_tokens, md5(coalesce(kept, '')) AS tokens_md5
 FROM documents d LEFT JOIN joined USING (doc_id)""")
 def prepare_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = documents(spark, sf_dir).select("doc_id", _words().alias("tokens"))
+    tokens = documents(spark, sf_dir).select("doc_id", tx.report_tokens(F.col("text"), ENGLISH).alias("tokens"))
     return tokens.select("doc_id", F.size("tokens").alias("n_tokens"), F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
 
 
@@ -97,7 +95,7 @@ joined AS (SELECT doc_id, string_agg(token, ' ' ORDER BY i) AS plain, count(*) A
 SELECT page_id, md5(coalesce(plain, '')) AS plain_md5, CAST(coalesce(n, 0) AS INTEGER) AS n_words
 FROM pages LEFT JOIN joined ON doc_id = page_id""")
 def strip_punct_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread_small(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
     plain = pages.select("page_id", _stripped(F.concat("url", F.lit(" "), "html")).alias("plain"))
     return plain.select("page_id", F.md5("plain").alias("plain_md5"), F.size(tx.space_tokens(F.col("plain"))).alias("n_words"))
 
@@ -106,14 +104,15 @@ def strip_punct_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {words_sql()}
 SELECT token, count(*) AS freq FROM words GROUP BY token HAVING count(*) >= 2 ORDER BY freq DESC, token LIMIT 50""")
 def word_freq_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fq.top_tokens(fq.count_tokens(documents(spark, sf_dir), _words()), 50)
+    return fq.top_tokens(fq.count_tokens(_letters(spark, sf_dir), "letters", stopwords=ENGLISH), 50)
 
 
 @query(f"""
 WITH {words_sql(f"(SELECT * FROM documents WHERE doc_id IN {FLAGGED_SQL})")}
 SELECT token, count(*) AS freq FROM words GROUP BY token HAVING count(*) >= 2""")
 def word_freq_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fq.count_tokens(flagged_documents(spark, sf_dir), _words())
+    flagged = _letters(spark, sf_dir).join(flagged_ids(spark, sf_dir), "doc_id", "left_semi")
+    return fq.count_tokens(flagged, "letters", stopwords=ENGLISH)
 
 
 @query("""
@@ -127,14 +126,14 @@ def token_counts_nonword(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {letters_sql()}, {grams_sql(2)}
 SELECT token, count(*) AS freq FROM grams GROUP BY token HAVING count(*) >= 2""")
 def bigram_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fq.count_ngrams(_with_letters(documents(spark, sf_dir)), "letters", 2, stopwords=ENGLISH)
+    return fq.count_ngrams(_letters(spark, sf_dir), "letters", 2, stopwords=ENGLISH)
 
 
 @query(f"""
 WITH {letters_sql()}, {grams_sql(3)}
 SELECT token, count(*) AS freq FROM grams GROUP BY token HAVING count(*) >= 2""")
 def trigram_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fq.count_ngrams(_with_letters(documents(spark, sf_dir)), "letters", 3, stopwords=ENGLISH)
+    return fq.count_ngrams(_letters(spark, sf_dir), "letters", 3, stopwords=ENGLISH)
 
 
 @query(f"""
@@ -160,7 +159,7 @@ WITH {words_sql()},
 counts AS (SELECT token, count(DISTINCT doc_id) AS df FROM words GROUP BY token HAVING count(DISTINCT doc_id) >= 2)
 SELECT token, df, {IDF_SQL} AS idf FROM counts""")
 def idf_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(fq.compute_idf(documents(spark, sf_dir), _words()), "idf")
+    return _rounded(fq.compute_idf(_letters(spark, sf_dir), "letters", stopwords=ENGLISH), "idf")
 
 
 @query(f"""
@@ -169,7 +168,7 @@ counts AS (SELECT token, count(*) AS freq, count(DISTINCT doc_id) AS df FROM wor
 idfs AS (SELECT token, freq, CASE WHEN df >= 2 THEN ln((SELECT count(*) FROM documents) / df) + 0.1 END AS idf FROM counts)
 SELECT token, freq, round(idf, 6) AS idf, round(freq * idf, 6) AS tfidf FROM idfs""")
 def tfidf_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(fq.corpus_tfidf(documents(spark, sf_dir), _words()), "idf", "tfidf")
+    return _rounded(fq.corpus_tfidf(_letters(spark, sf_dir), "letters", stopwords=ENGLISH), "idf", "tfidf")
 
 
 @query(f"""
@@ -180,11 +179,9 @@ counts AS (
 idfs AS (SELECT token, freq, CASE WHEN df >= 10 THEN ln((SELECT count(*) FROM documents) / df) + 0.1 END AS idf FROM counts)
 SELECT token, freq, round(idf, 6) AS idf, round(freq * idf, 6) AS tfidf FROM idfs""")
 def tfidf_bigram_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frequencies of the flagged documents against the IDF of all. The label sits in another table, so
-    only flagged texts take part in a join; all texts are read for the IDF and none of them is moved."""
-    freq = fq.count_ngrams(_with_letters(flagged_documents(spark, sf_dir)), "letters", 2, stopwords=ENGLISH)
-    idf = fq.compute_idf(_with_letters(documents(spark, sf_dir)), _grams(2), min_df=10)
-    return _rounded(fq.join_tfidf(freq, idf), "idf", "tfidf")
+    """Frequencies of the flagged documents against the IDF of all, in one pass over the texts."""
+    rows = with_flag(_letters(spark, sf_dir), spark, sf_dir)
+    return _rounded(fq.corpus_tfidf(rows, _grams(2), F.col("is_flagged"), min_df=10), "idf", "tfidf")
 
 
 @query(f"""
@@ -193,8 +190,7 @@ counts AS (SELECT token, count(*) AS freq, count(DISTINCT doc_id) AS df FROM gra
 idfs AS (SELECT token, freq, CASE WHEN df >= 10 THEN ln((SELECT count(*) FROM documents) / df) + 0.1 END AS idf FROM counts)
 SELECT token, freq, round(idf, 6) AS idf, round(freq * idf, 6) AS tfidf FROM idfs""")
 def tfidf_trigram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _with_letters(documents(spark, sf_dir))
-    return _rounded(fq.corpus_tfidf(rows, _grams(3), min_df=10), "idf", "tfidf")
+    return _rounded(fq.corpus_tfidf(_letters(spark, sf_dir), _grams(3), min_df=10), "idf", "tfidf")
 
 
 @query(f"""
@@ -205,9 +201,8 @@ counts AS (
   SELECT token, 2 AS n, count(DISTINCT doc_id) AS df FROM grams GROUP BY token HAVING count(DISTINCT doc_id) >= 10)
 SELECT token, n, df, {IDF_SQL} AS idf FROM counts""")
 def idf_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _with_letters(documents(spark, sf_dir))
-    tables = {1: fq.compute_idf(rows, _words(), 2), 2: fq.compute_idf(rows, _grams(2), 10)}
-    return _rounded(fq.union_idf(tables), "idf")
+    words = tx.drop_stopwords(F.col("letters"), ENGLISH, lowered=True)
+    return _rounded(fq.sized_idf(_letters(spark, sf_dir), {1: (words, 2), 2: (_grams(2), 10)}), "idf")
 
 
 @query(f"""
@@ -220,9 +215,9 @@ idfs AS (
 SELECT token, freq, round(freq * idf, 6) AS tfidf
 FROM freqs LEFT JOIN idfs USING (token) ORDER BY round(freq * idf, 6) DESC NULLS LAST, token LIMIT 100""")
 def tfidf_top100_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    freq = fq.count_tokens(flagged_documents(spark, sf_dir), _words())
-    joined = fq.join_tfidf(freq, fq.compute_idf(documents(spark, sf_dir), _words()))
-    return fq.top_tokens(_rounded(joined.drop("idf"), "tfidf"), 100, by="tfidf")
+    rows = with_flag(_letters(spark, sf_dir), spark, sf_dir)
+    scores = fq.corpus_tfidf(rows, "letters", F.col("is_flagged"), stopwords=ENGLISH)
+    return fq.top_tokens(_rounded(scores.drop("idf"), "tfidf"), 100, by="tfidf")
 
 
 @query(f"""
@@ -246,4 +241,4 @@ GROUP BY token HAVING count(DISTINCT doc_id) >= 5""")
 def count_vectorizer_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = tx.drop_stopwords(tx.nonword_tokens(F.col("text")), ENGLISH)
     rows = documents(spark, sf_dir).select(tokens.alias("filtered"))
-    return vocabulary_rows(bag_of_words(rows, "filtered", min_df=5.0), rows).select("token")
+    return vocabulary_counts(rows, "filtered", 5).select("token")

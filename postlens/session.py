@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A local session for tests and the bench; on a cluster use the session spark-submit gives."""
@@ -30,18 +27,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    Only a local session may lack the setting; it then gets a folder of its own. On a cluster a
-    machine-local folder would be lost with its executor, so a missing setting is an error there.
-    """
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, one under the warehouse, which lies
+    on the session's file system too. Neither is a folder of one machine on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="postlens-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    return (base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -59,15 +48,3 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Use all cores on a small scan that Parquet cannot split (one row group per file).
-
-    Applies only below ``SMALL_INPUT_BYTES`` by Catalyst's own size estimate; a large scan already
-    has enough splits, and then the frame is returned as it is, with no shuffle.
-    """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size > SMALL_INPUT_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -9,10 +9,13 @@ from pyspark.sql import types as T
 from postlens import schemas
 from postlens.functions.values import parse_time, to_number
 from postlens.operators.cleaning import parsed_and_rejected
+from postlens.sources.writers import NULL_MARK
 
 CSV_OPTIONS = {
     "header": "true",
     "multiLine": "true",
+    "nullValue": NULL_MARK,
+    "emptyValue": "",
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
@@ -25,7 +28,8 @@ def read_csv(
 ) -> DataFrame:
     """All CSV files of a folder (or one file), with quoted newlines and quotes kept inside their row.
 
-    Give the schema where it is known: without one Spark reads the files once more to infer it.
+    Give the schema where it is known: without one Spark reads the files once more to infer it. Where no
+    text holds a newline, pass ``multiLine="false"``: Spark can then split large files.
     """
     reader = spark.read.options(**{**CSV_OPTIONS, "pathGlobFilter": glob, **options})
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
@@ -89,10 +93,19 @@ def register_partitions(spark: SparkSession, table: str, path: str, schema: T.St
 
 def flatten_listing(pages: DataFrame, column: str = "json", schema: T.StructType = schemas.LISTING) -> DataFrame:
     """One row per post of nested listing JSON (``data.children[].data``)."""
-    parsed = pages.select(F.from_json(F.col(column), schema).alias("listing"))
-    children = parsed.select(F.explode("listing.data.children").alias("child"))
+    return flatten_listing_with_rejects(pages, column, schema)[0]
+
+
+def flatten_listing_with_rejects(
+    pages: DataFrame, column: str = "json", schema: T.StructType = schemas.LISTING
+) -> tuple[DataFrame, DataFrame]:
+    """The posts of listing pages, and the pages that are no listing, as they came."""
+    parsed = pages.withColumn("_listing", F.from_json(F.col(column), schema))
+    broken = F.col("_listing.data.children").isNull()
+    children = parsed.filter(~broken).select(F.explode("_listing.data.children").alias("child"))
     posts = children.select("child.data.*")
-    return posts.select(F.timestamp_seconds("created_utc").alias("date"), *[c for c in posts.columns if c != "created_utc"])
+    posts = posts.select(F.timestamp_seconds("created_utc").alias("date"), *[c for c in posts.columns if c != "created_utc"])
+    return posts, parsed.filter(broken).drop("_listing")
 
 
 def read_watchlist(spark: SparkSession, path: str) -> DataFrame:

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 
 from postlens.operators.joins import upsert
 
+# Fixed value: how null is written, so that an empty text stays one.
+NULL_MARK = "\\N"
 CSV_WRITE_OPTIONS = {
     "header": "true",
     "escape": '"',
     "quoteAll": "true",
     "emptyValue": "",
-    "nullValue": None,
+    "nullValue": NULL_MARK,
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
@@ -24,19 +26,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file:
 
     A file with quoted newlines is read by one task, so files are kept short.
     """
-    options = {key: value for key, value in CSV_WRITE_OPTIONS.items() if value is not None}
-    df.write.mode(mode).options(**options, maxRecordsPerFile=rows_per_file).csv(path)
-
-
-def write_csv_report(df: DataFrame, path: str, rows: int, mode: str = "overwrite") -> None:
-    """One CSV file for a report of at most ``rows`` rows; a longer frame is refused, not cut."""
-    report = df.limit(rows + 1).persist()
-    try:
-        if report.count() > rows:
-            raise ValueError(f"more than {rows} rows; use write_csv")
-        write_csv(report.coalesce(1), path, mode, rows_per_file=rows)
-    finally:
-        report.unpersist()
+    df.write.mode(mode).options(**CSV_WRITE_OPTIONS, maxRecordsPerFile=rows_per_file).csv(path)
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("sr", "sm", "dt"), rows_per_file: int = 5_000_000) -> None:

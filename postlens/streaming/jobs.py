@@ -7,9 +7,10 @@ nothing twice. ``once=True`` works through what is there and stops; a cron job b
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -92,17 +93,25 @@ def daily_counts(
 def write_counts(
     counts: DataFrame, path: str, checkpoint: str, once: bool = False, every: str = "1 minute"
 ) -> StreamingQuery:
-    """Write the counts that changed, one folder per batch; a batch that runs again replaces its folder."""
+    """Keep the newest count of every key, one folder per batch: what the batch changed, and the rest of the
+    folder before it. A batch that runs again replaces its folder; folders before the last two may go."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
+        spark, keys = batch.sparkSession, [name for name in batch.columns if name != "no_comment"]
+        if batch_id > 0:
+            before = spark.read.schema(batch.schema).parquet(f"{path}/batch={batch_id - 1}")
+            same = reduce(Column.__and__, [before[name].eqNullSafe(batch[name]) for name in keys])
+            batch = batch.unionByName(before.join(batch, same, "left_anti"))
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return _start(counts.writeStream.outputMode("update").foreachBatch(save), checkpoint, once, every)
 
 
 def latest_counts(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The newest count of each key over all batches."""
-    return spark.read.parquet(path).groupBy(*keys).agg(F.max_by("no_comment", "batch").alias("no_comment"))
+    """The newest count of each key: the folder of the last batch, and no other, is read."""
+    counts = spark.read.parquet(path)
+    last = counts.select("batch").distinct().agg(F.max("batch")).first()[0]
+    return counts.filter(F.col("batch") == last).select(*keys, "no_comment")
 
 
 def score_stream(stream: DataFrame, vectorizer: Model, model: Model, columns: dict[str, str] | None = None) -> DataFrame:
