@@ -138,6 +138,18 @@ def cv_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _search(spark, sf_dir, "dt")
 
 
+@query(_search_sql("rf"))
+def cv_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The random-forest grid over four folds."""
+    return _search(spark, sf_dir, "rf")
+
+
+@query(_search_sql("gbt"))
+def cv_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gradient-boosting grid over four folds."""
+    return _search(spark, sf_dir, "gbt")
+
+
 @query("""
 SELECT true AS in_range, true AS sums_to_one, true AS some FROM labels LIMIT 1""")
 def tree_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
