@@ -49,7 +49,7 @@ digests AS (
          min(page_id) OVER (PARTITION BY html) AS first
   FROM payloads)
 SELECT page_id, payload_bytes,
-       list_aggregate(list_transform(range(32), i ->
+       list_aggregate(list_transform(range(32), lambda i:
          substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                 CAST(((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS INTEGER), 5) AS INTEGER)
                        >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1 AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
@@ -87,6 +87,50 @@ def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_and_compare(read_table(spark, sf_dir, "documents"))
 
 
+def _root_sql(text: str) -> str:
+    """The Merkle root of a text: digests of lines, runs of them, and of the runs' digests."""
+    digests = f"list_transform(string_split({text}, chr(10)), lambda x: sha256(x))"
+    marked = f"regexp_replace(array_to_string({digests}, ',') || ',', '([01]|b855),', '\\1,|', 'g')"
+    runs = f"list_filter(string_split({marked}, '|'), lambda x: x <> '')"
+    return f"sha256(array_to_string(list_transform({runs}, lambda x: sha256(x)), ','))"
+
+
+def _sentences_sql(text: str) -> str:
+    ends = f"regexp_replace({text}, '([.!?|]) ', '\\1' || chr(10), 'g')"
+    return f"list_distinct(list_filter(string_split({ends}, chr(10)), lambda x: x <> ''))"
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    def weight(of: str) -> str:
+        return f"coalesce(list_sum(list_transform({of}, lambda x: least(length(x), 65535))), 0)"
+
+    common = weight(f"list_intersect({a}, {b})")
+    either = f"({weight(a)} + {weight(b)} - {common})"
+    return f"CASE WHEN {either} > 0 THEN {common} / {either} ELSE 1.0 END"
+
+
+ORACLES["op7_merkle"] = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS body, row_number() OVER (ORDER BY doc_id DESC) AS place, count(*) OVER () AS n
+  FROM documents),
+pairs AS (
+  SELECT a.doc_id, a.body, b.doc_id AS next_id, b.body AS following, CAST(length(a.body) // 3 AS BIGINT) AS third
+  FROM texts a JOIN texts b ON b.place = a.place % a.n + 1),
+edits AS (
+  SELECT *, substr(body, 1, length(body) - third) || substr(following, 1, third) AS edited FROM pairs),
+parts AS (
+  SELECT *, {_sentences_sql("body")} AS own, {_sentences_sql("edited")} AS changed, {_sentences_sql("following")} AS ahead,
+         string_split(body, chr(10)) AS lines, string_split(edited, chr(10)) AS edited_lines FROM edits)
+SELECT doc_id, CAST(length(body) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, {_root_sql("body")} AS fingerprint,
+       {_root_sql("edited")} AS edited_fingerprint, {_likeness_sql("own", "changed")} AS near_edited,
+       {_likeness_sql("own", "ahead")} AS near_next, next_id,
+       coalesce(list_min(list_filter(range(1, greatest(len(lines), len(edited_lines)) + 1),
+         lambda i: lines[i] IS DISTINCT FROM edited_lines[i])), 0) AS first_changed_paragraph,
+       len(lines) AS n_paragraphs
+FROM parts
+"""
+
+
 @query
 def op8_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(read_table(spark, sf_dir, "documents"))

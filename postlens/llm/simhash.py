@@ -198,11 +198,15 @@ def fingerprint_hex(fp: str = "fp") -> Column:
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 4, segments: int = 3) -> DataFrame:
     """The columns of ``docs`` for one document of each group: the one with the smallest id. Rows that
-    repeat an id are one document; of them one with the least text stays."""
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, distance, segments)
-    named = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = named.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id")).distinct()
-    rows = packed(docs).withColumn("id", F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")))
-    inside = Window.partitionBy("id").orderBy(F.col("row.text"))
-    first = rows.join(kept, "id", "left_semi").withColumn("nth", F.row_number().over(inside)).filter("nth = 1")
+    repeat an id are one document; of them one with the least text stays. Rows without an id are documents
+    by their text, and come after all others."""
+    text, number = F.col("row.text").cast("string"), F.col("row.doc_id")
+    mark = F.when(number.isNull(), F.sha2(F.coalesce(text, F.lit("")), 256))
+    member = F.struct(number.isNull().alias("none"), number.alias("id"), mark.alias("mark"))
+    rows = packed(docs)
+    found = near_duplicates(rows.select(member.alias("member"), text.alias("text")), shingle, distance, segments, key="member")
+    kept = found.filter(F.col("member").eqNullSafe(F.col("component_id"))).select(F.to_json("member").alias("name")).distinct()
+    named = rows.withColumn("name", F.to_json(member))
+    inside = Window.partitionBy("name").orderBy(F.col("row.text"))
+    first = named.join(kept, "name", "left_semi").withColumn("nth", F.row_number().over(inside)).filter("nth = 1")
     return unpacked(first, docs)
