@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlens.session import materialise
+
 
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first k rows of each group in a total order.
@@ -53,7 +55,8 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequ
     if not keys:
         raise ValueError("upsert needs at least one key")
     newest = latest_per_key(updates.select(*base.columns, *[o for o in order if o not in base.columns]), keys, order)
-    newest = newest.select(*base.columns)
+    # Written once, as both halves of the result read it.
+    newest = materialise(newest.select(*base.columns), "upsert-newest")
     replaced = newest.select(*[F.col(key).alias(f"_new_{key}") for key in keys])
     same_key = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"_new_{key}")) for key in keys])
     return base.join(replaced, same_key, "left_anti").unionByName(newest)

@@ -343,7 +343,7 @@ def coerce_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, CASE WHEN event_id % 6 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M') END AS moment,
+SELECT event_id, CASE WHEN event_id % 6 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS moment,
        CASE WHEN event_id % 9 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS day FROM events""")
 def coerce_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
@@ -353,7 +353,7 @@ def coerce_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event % 9 == 0, "32 May").otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("day"),
     )
     rows = cl.coerce_dates(arrived, {"moment": "timestamp_ntz", "day": "date"})
-    return rows.select("event_id", F.date_format("moment", "yyyy-MM-dd HH:mm").alias("moment"), day_text("day").alias("day"))
+    return rows.select("event_id", F.date_format("moment", "yyyy-MM-dd HH:mm:ss").alias("moment"), day_text("day").alias("day"))
 
 
 @query("""
@@ -447,7 +447,7 @@ def rename_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS local_text,
        strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS day, CAST(hour(ts + INTERVAL 8 HOUR) AS INTEGER) AS hour_local,
        strftime(ts + INTERVAL 8 HOUR, '%I%p') AS hour_label,
-       strftime(make_timestamp((1704067200 + event_id * 60) * 1000000), '%Y-%m-%d %H:%M') AS from_epoch FROM events""")
+       strftime(make_timestamp((1704067200 + event_id * 60) * 1000000), '%Y-%m-%d %H:%M:%S') AS from_epoch FROM events""")
 def local_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cl.with_local_time(table(spark, sf_dir, "events"), "ts")
     return rows.select(
@@ -456,7 +456,7 @@ def local_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         day_text("date_local").alias("day"),
         "hour_local",
         vl.hour_label(F.col("timestamp_local")).alias("hour_label"),
-        F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("event_id") * 60), "yyyy-MM-dd HH:mm").alias("from_epoch"),
+        F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("event_id") * 60), "yyyy-MM-dd HH:mm:ss").alias("from_epoch"),
     )
 
 

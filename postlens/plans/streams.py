@@ -35,13 +35,13 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT event_id AS comment_id, strftime(ts, '%Y-%m-%d %H:%M') AS moment, user_id AS author, event_type AS sub_reddit FROM events")
+@query("SELECT event_id AS comment_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS moment, user_id AS author, event_type AS sub_reddit, value FROM events")
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comments taken from a stream into files."""
     out, checkpoint = scratch_path(spark, "ingest"), scratch_path(spark, "ingest-progress")
     jobs.run_to_end(lambda: jobs.write_stream(_event_stream(spark, sf_dir), out, checkpoint, once=True))
     rows = spark.read.parquet(out)
-    return rows.select("comment_id", F.date_format("dt", "yyyy-MM-dd HH:mm").alias("moment"), "author", "sub_reddit")
+    return rows.select("comment_id", F.date_format("dt", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("moment"), "author", "sub_reddit", "value")
 
 
 @query("""

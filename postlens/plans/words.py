@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlens.functions import text as tx
 from postlens.functions.stopwords import ENGLISH, EXPLORATION, MODEL_SHORT
-from postlens.learning.features import vocabulary_counts
+from postlens.learning.features import hashed_counts, idf_stage, vocabulary_counts
 from postlens.operators import frequency as fq
 from postlens.plans.registry import query
 from postlens.plans.tables import (
@@ -24,6 +24,7 @@ from postlens.plans.tables import (
     word_list_sql,
     words_sql,
 )
+from postlens.session import materialise
 
 FLAGGED_SQL = "(SELECT doc_id FROM labels WHERE toxic = 1)"
 
@@ -242,3 +243,30 @@ def count_vectorizer_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = tx.drop_stopwords(tx.nonword_tokens(F.col("text")), ENGLISH)
     rows = documents(spark, sf_dir).select(tokens.alias("filtered"))
     return vocabulary_counts(rows, "filtered", 5).select("token")
+
+
+@query(f"""
+WITH tokens AS (
+  SELECT doc_id, unnest(string_split_regex(lower(text), '[^A-Za-z0-9_]')) AS token FROM documents)
+SELECT token, count(DISTINCT doc_id) AS df, true AS agrees FROM tokens
+WHERE token <> '' AND token NOT IN {word_list_sql(MODEL_SHORT)} GROUP BY token""")
+def idf_stage_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of the fitted IDF stage. A term alone in its hash bucket must have ``ln((N + 1) / (df + 1))``,
+    0 below the floor; one that shares it can have no more than that."""
+    counting = hashed_counts("text", MODEL_SHORT, num_features=1 << 18)
+    rows = documents(spark, sf_dir)
+    counted = materialise(counting.transform(rows).select("filtered", "rawFeatures"), "idf-counts")
+    fitted = idf_stage(5).fit(counted)
+    seen = counted.select(F.explode(F.array_distinct("filtered")).alias("token")).groupBy("token")
+    terms = seen.agg(F.count("*").alias("df")).withColumn("filtered", F.array("token"))
+    weighed = fitted.transform(counting.stages[-1].transform(terms))
+    # One bucket a term: the vectors hold a single value.
+    bucket = F.udf(lambda vector: int(vector.indices[0]), "int")
+    weight = F.udf(lambda vector: float(vector.values[0]) if len(vector.values) else 0.0, "double")
+    weighed = weighed.select("token", "df", bucket("rawFeatures").alias("bucket"), weight("features").alias("weight"))
+    alone = F.count("*").over(Window.partitionBy("bucket")) == 1
+    documents_read = F.lit(fitted.numDocs)
+    own = F.ln((documents_read + 1) / (F.col("df") + 1))
+    most = F.ln((documents_read + 1) / (F.greatest("df", F.lit(5)) + 1))
+    exact = F.abs(F.col("weight") - F.when(F.col("df") >= 5, own).otherwise(0.0)) < 1e-9
+    return weighed.select("token", "df", F.when(alone, exact).otherwise(F.col("weight") <= most + 1e-9).alias("agrees"))
