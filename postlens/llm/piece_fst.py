@@ -12,9 +12,8 @@ and keeps the least.
   stable, so there is one path of finite weight and it is the model's own encoding. The arcs are made
   when first met and kept.
 
-Where no piece can cross a border (before ``▁`` after another character, and around characters outside
-all pieces), a path must pass through it, so a text is cut there and short parts are solved once and
-kept. The store is emptied when full, so memory is bounded by the longest text.
+Where no piece can cross a border, a path must pass through it, so a text is cut there and short parts
+are solved once and kept. The store has a fixed size, so memory is bounded by the longest text.
 
 Defined results: a null or empty text has no ids; ids decode to the text with ``▁`` read as a space;
 repeated rows are encoded one by one. Models with a character map are refused.
@@ -22,7 +21,9 @@ repeated rows are encoded one by one. Models with a character map are refused.
 
 from __future__ import annotations
 
+import gc
 import re
+import string
 from array import array
 from functools import lru_cache
 
@@ -39,7 +40,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL_BYTES = 64 << 20
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
-KEPT_PARTS, KEPT_PART_LENGTH, KEPT_ARCS = 200_000, 48, 400_000
+KEPT_PARTS, KEPT_PART_LENGTH, KEPT_ARCS = 250_000, 48, 1_000_000
 UNKNOWN_PENALTY = 10.0
 NEVER = float("inf")
 
@@ -98,16 +99,41 @@ class Transducer:
         self.weight = {i: -known.get_score(i) for i in range(size)}
         self.unknown_weight = max((self.weight[i] for i in plain), default=0.0) + UNKNOWN_PENALTY
         self.ids = {self.pieces[i]: i for i in plain}
-        # Every beginning of a piece: the piece's id, or -1 where more must follow.
-        self.starts = {piece[:k]: -1 for piece in self.ids for k in range(1, len(piece))} | self.ids
-        self.arcs: dict[int, bool] = {}
+        # A tree of the pieces by character: id (or -1 where more must follow) and what may follow.
+        self.trie: dict[str, list] = {}
+        for piece, number in self.ids.items():
+            level, node = self.trie, None
+            for char in piece:
+                node = level.setdefault(char, [-1, {}])
+                level = node[1]
+            node[0] = number
+        self.arcs: dict[int, dict[int, bool]] = {}
+        self.made = 0
         self.spines: dict[int, tuple | None] = {}
         self.parts: dict[str, array] = {}
+        self.older: dict[str, array] = {}
+        self.cut = re.compile(self.cuts()).findall
+        self.spoken = [b""] * size
+        for i in plain:
+            self.spoken[i] = self.pieces[i].replace(SPACE, " ").encode()
+        for byte, i in self.bytes.items():
+            self.spoken[i] = bytes([byte])
+
+    def cuts(self) -> str:
+        """The pattern of parts, by the borders that no piece crosses: around newlines, before spaces after
+        something else, and between a letter or digit and a mark that follows it in no piece."""
         crossing = any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self.ids)
-        line = any("\n" in piece for piece in self.ids)
-        self.cut = re.compile(r"(?s).+" if crossing or line else r"\n| *[^ \n]+| +").findall
-        spoken = {i: self.pieces[i].replace(SPACE, " ").encode() for i in plain}
-        self.spoken = spoken | {i: bytes([byte]) for byte, i in self.bytes.items()}
+        if crossing or any("\n" in piece for piece in self.ids):
+            return r"(?s).+"
+        pairs = {pair for piece in self.ids for pair in re.findall(r"(?=([^\W_][^\w ]))", piece)}
+        by_mark: dict[str, str] = {}
+        for mark in set(string.punctuation) - {"_"}:
+            by_mark[mark] = "".join(sorted(re.escape(pair[0]) for pair in pairs if pair[1] == mark))
+        free = "".join(sorted(re.escape(mark) for mark, letters in by_mark.items() if not letters))
+        borders = [rf"(?=[{free}])"] if free else []
+        # A mark that follows some letters in pieces is cut off after all others.
+        borders += [rf"(?<![{letters}])(?={re.escape(mark)})" for mark, letters in sorted(by_mark.items()) if letters]
+        return rf"\n| *[^\W_]+(?:{'|'.join(borders)})| *[^ \n]+| +"
 
     # ---- arcs of a BPE model ---------------------------------------------------------------------
 
@@ -169,58 +195,56 @@ class Transducer:
         beginning of a text is fixed; -1 stands for the start and for bytes, which bar nothing."""
         size = len(text)
         last: list = [None] * (size + 1)
-        come: list = [0] * (size + 1)
+        come = [0] * (size + 1)
         last[0] = -1
-        starts, arcs, pieces = self.starts, self.arcs, len(self.pieces)
-        for i in range(size):
-            before = last[i]
-            if before is None:
+        trie = self.trie
+        for i, before in enumerate(last):
+            if before is None or i == size:
                 continue
-            j = i + 1
-            number = starts.get(text[i:j])
-            if number is None or (number < 0 and self.alone(text[i])):
-                last[j], come[j] = -1, i
+            node = trie.get(text[i])
+            if node is None or (node[0] < 0 and text[i] not in self.ids):
+                last[i + 1], come[i + 1] = -1, i
                 continue
-            while number is not None:
+            arcs = self.arcs.get(before)
+            if arcs is None:
+                arcs = self.arcs[before] = {}
+            j = i
+            while node is not None:
+                j += 1
+                number = node[0]
                 if number >= 0:
-                    if before < 0:
-                        allowed = self.spine(number) is not None
-                    else:
-                        key = before * pieces + number
-                        allowed = arcs.get(key)
-                        if allowed is None:
-                            if len(arcs) >= KEPT_ARCS:
-                                arcs.clear()
-                            allowed = arcs[key] = self.stable(before, number)
+                    allowed = arcs.get(number)
+                    if allowed is None:
+                        allowed = arcs[number] = self.allowed(before, number)
                     if allowed:
                         last[j], come[j] = number, i
                 if j == size:
                     break
-                j += 1
-                number = starts.get(text[i:j])
+                node = node[1].get(text[j])
         return self.read_back(text, last, come)
 
-    def alone(self, char: str) -> bool:
-        """Whether a character that begins pieces is none itself."""
-        return char not in self.ids
+    def allowed(self, before: int, number: int) -> bool:
+        """Makes an arc. A full store of arcs is emptied; those in use are then made again."""
+        self.made += 1
+        if self.made > KEPT_ARCS:
+            self.arcs, self.made = {}, 0
+        return self.spine(number) is not None if before < 0 else self.stable(before, number)
 
     def score_path(self, text: str) -> array:
         size = len(text)
         cost, last, come = [NEVER] * (size + 1), [None] * (size + 1), [0] * (size + 1)
         cost[0] = 0.0
         for i in range(size):
-            single, j = False, i + 1
-            number = self.starts.get(text[i:j])
-            while number is not None:
-                if number >= 0:
-                    single = single or j == i + 1
-                    if cost[i] + self.weight[number] < cost[j]:
-                        cost[j], last[j], come[j] = cost[i] + self.weight[number], number, i
+            j, node = i, self.trie.get(text[i])
+            while node is not None:
+                j += 1
+                number = node[0]
+                if number >= 0 and cost[i] + self.weight[number] < cost[j]:
+                    cost[j], last[j], come[j] = cost[i] + self.weight[number], number, i
                 if j == size:
                     break
-                j += 1
-                number = self.starts.get(text[i:j])
-            if not single and cost[i] + self.unknown_weight < cost[i + 1]:
+                node = node[1].get(text[j])
+            if text[i] not in self.ids and cost[i] + self.unknown_weight < cost[i + 1]:
                 cost[i + 1], last[i + 1], come[i + 1] = cost[i] + self.unknown_weight, -1, i
         return self.read_back(text, last, come)
 
@@ -245,18 +269,27 @@ class Transducer:
 
     def encode(self, text: str) -> array:
         out = array("i")
-        parts = self.parts
+        known, add = self.parts.get, out.extend
         for part in self.cut(self.normalised(text)):
-            found = parts.get(part)
+            found = known(part)
             if found is None:
-                found = self.path(part.replace(" ", SPACE))
-                if len(part) <= KEPT_PART_LENGTH:
-                    if len(parts) >= KEPT_PARTS:
-                        parts.clear()
-                    parts[part] = found
-            out.extend(found)
+                found = self.solved(part)
+                known = self.parts.get
+            add(found)
         return out
 
+    def solved(self, part: str) -> array:
+        """A part's ids. Short parts are kept; a full store becomes the older one, from which parts still in
+        use come back."""
+        found = self.older.get(part)
+        if found is None:
+            found = self.path(part.replace(" ", SPACE))
+        if len(part) <= KEPT_PART_LENGTH:
+            if len(self.parts) >= KEPT_PARTS:
+                self.older, self.parts = self.parts, {}
+            self.parts[part] = found
+        return found
+
     def decode(self, ids: array) -> str:
         text = b"".join(map(self.spoken.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
@@ -264,8 +297,11 @@ class Transducer:
 
 @lru_cache(maxsize=2)
 def transducer(model: bytes) -> Transducer:
-    """Compiled once per Python worker."""
-    return Transducer(model)
+    """Compiled once per Python worker. Its tree lives as long as the worker, so the garbage collector need
+    not walk it again and again."""
+    coder = Transducer(model)
+    gc.freeze()
+    return coder
 
 
 def read_model(spark: SparkSession, path: str) -> bytes:
