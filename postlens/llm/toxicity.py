@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from postlens.llm.common import held_out, map_texts
 
-MAX_TOXIC, MAX_UNLABELLED = 1500, 4000
+MAX_TOXIC, MAX_UNLABELLED = 1000, 3000
 #: A word may tell if it is in so many toxic texts, and in so many times more of them than of others, and
 #: if the likelihood ratio of its counts is so high that chance does not explain it.
 MAX_WORDS, LEAST_TEXTS, LEAST_LIFT, LEAST_RATIO = 300, 4, 2.5, 8.0
@@ -131,8 +131,12 @@ def word_sets(docs: DataFrame, most: int) -> list[set]:
         return [pa.array([sorted(words_of(text)) for text in texts], pa.list_(pa.binary()))]
 
     schema = T.StructType([T.StructField("words", T.ArrayType(T.BinaryType()))])
-    rows = map_texts(docs, "doc_id", "text", schema, work).select("words").limit(most).collect()
-    sets = {tuple(bytes(word) for word in row["words"]) for row in rows}
+    found = map_texts(docs, "doc_id", "text", schema, work).select("words").limit(most).toArrow()
+    # Every word is held once, however many texts have it.
+    held: dict[bytes, bytes] = {}
+    sets = set()
+    for batch in found.to_batches(max_chunksize=64):
+        sets.update(tuple(held.setdefault(word, word) for word in words) for words in batch.column(0).to_pylist())
     return [set(words) for words in sorted(sets)]
 
 
