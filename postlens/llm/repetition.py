@@ -37,11 +37,12 @@ GROUP_WORDS = 1 << 18
 @dataclass(frozen=True)
 class Limits:
     """A repeat counts from ``min_words`` words; rejected is a document of which over ``max_covered`` of
-    the words lie in repeats, or in which one repeat has over ``max_repeat`` of the words."""
+    the words lie in repeats, or in which one repeat has over ``max_repeat`` of the words. Words in long
+    repeats are in repeated windows too, so only limits well below that of the base rule add to it."""
 
     min_words: int = 10
-    max_covered: float = 0.5
-    max_repeat: float = 0.4
+    max_covered: float = 0.2
+    max_repeat: float = 0.15
 
 
 def word_numbers(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
