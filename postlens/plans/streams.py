@@ -72,11 +72,11 @@ def stream_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id AS comment_id, event_type AS sub_reddit FROM events")
 def stream_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each comment comes twice, as when ingest pulls a window again; it is stored once. The delay covers the
-    days of the table, and ids older than that leave the state."""
+    """Each comment comes twice, as when ingest pulls a window again; it is stored once, in whatever order the
+    files come."""
     out, checkpoint = scratch_path(spark, "single"), scratch_path(spark, "single-progress")
     twice = _event_stream(spark, sf_dir).withColumn("pull", F.explode(F.array(F.lit(1), F.lit(2)))).drop("pull")
-    single = jobs.without_repeats(twice, "dt", delay="60 days").select("comment_id", "sub_reddit")
+    single = jobs.without_repeats(twice, "dt").select("comment_id", "sub_reddit")
     jobs.run_to_end(lambda: jobs.write_stream(single, out, checkpoint, once=True))
     return spark.read.parquet(out)
 
