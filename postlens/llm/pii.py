@@ -3,7 +3,7 @@
 Everything is built of native expressions. A pattern's matches and the text between them (by splitting
 at the same pattern) give every place in code points; one pass adds the lengths up, in blocks, so that
 a text with very many matches costs no square of them. The words that may speak for a match are looked
-for in the text between it and its neighbours only.
+for in the ``BEFORE`` characters before it and the ``AFTER`` behind it, whatever other matches lie there.
 
 The kinds ``email``, ``ip``, ``card`` and ``phone`` are kept whenever their own check holds. The method
 adds ``iban`` (mod 97), ``short_card`` (13 to 15 digits by Luhn) and ``local_phone`` (no country code);
@@ -30,6 +30,8 @@ from postlens.llm.common import packed, with_text
 THRESHOLD = 0.5
 CONTEXT_BONUS = 0.3
 BEFORE, AFTER = 40, 20
+#: No pattern matches fewer characters, so a window reaches over so many matches at most.
+LEAST_HIT = 4
 BLOCK = 256
 
 
@@ -152,19 +154,34 @@ def judged(df: DataFrame, text: str, kind: Kind) -> DataFrame:
     some = F.size("hits") > 0
     gaps = F.when(some, F.split(F.col(text), kind.pattern, -1)).otherwise(F.array(F.col(text)))
 
-    def item(hit: Column, i: Column) -> Column:
-        gap, following = F.get("gaps", i), F.get("gaps", i + 1)
-        near = F.lower(F.concat(F.right(gap, F.lit(BEFORE)), F.lit(" "), F.left(following, F.lit(AFTER))))
-        bonus = F.when(near.rlike(kind.context), F.lit(CONTEXT_BONUS)).otherwise(0.0)
+    def gap_at(i: Column, length: int, side: Callable[[Column, Column], Column]) -> Column:
+        return side(F.get("gaps", i), F.lit(length))
+
+    # Each match with what is before it, or after it, as far as a window can reach.
+    heads = F.transform("hits", lambda hit, i: F.right(F.concat(gap_at(i, BEFORE, F.right), hit), F.lit(BEFORE)))
+    tails = F.transform("hits", lambda hit, i: F.left(F.concat(hit, gap_at(i + 1, AFTER, F.left)), F.lit(AFTER)))
+    most = BEFORE // LEAST_HIT
+    earlier = F.transform(
+        "heads", lambda _, i: F.array_join(F.slice("heads", F.greatest(i - most + 1, F.lit(1)), F.least(i, F.lit(most))), "")
+    )
+    later = F.transform("tails", lambda _, i: F.array_join(F.slice("tails", i + 2, F.lit(AFTER // LEAST_HIT)), ""))
+
+    def item(one: Column, i: Column) -> Column:
+        gap, hit = F.get("gaps", i), one["hits"]
+        before = F.right(F.concat(one["earlier"], gap_at(i, BEFORE, F.right)), F.lit(BEFORE))
+        after = F.left(F.concat(gap_at(i + 1, AFTER, F.left), one["later"]), F.lit(AFTER))
+        bonus = F.when(F.lower(F.concat(before, F.lit(" "), after)).rlike(kind.context), F.lit(CONTEXT_BONUS)).otherwise(0.0)
         score = F.when(kind.check(hit), F.lit(kind.score) + bonus).otherwise(0.0)
         return F.struct(gap.alias("gap"), hit.alias("hit"), score.alias("score"))
 
     return (
         df.withColumn("hits", hits)
         .withColumn("gaps", gaps)
-        .withColumn("items", F.transform("hits", item))
+        .withColumns({"heads": heads, "tails": tails})
+        .withColumns({"earlier": earlier, "later": later})
+        .withColumn("items", F.transform(F.arrays_zip("hits", "earlier", "later"), item))
         .withColumn("tail", F.get("gaps", F.size("hits")))
-        .drop("hits", "gaps")
+        .drop("hits", "gaps", "heads", "tails", "earlier", "later")
     )
 
 
