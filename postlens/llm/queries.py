@@ -12,6 +12,7 @@ from postlens.llm import (
     language_id,
     merkle,
     mixing,
+    periods,
     pii,
     piece_fst,
     repetition,
@@ -176,3 +177,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = simhash.near_duplicates(docs, shingle=4, distance=4)
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periods.find_runs(periods.with_planted_runs(docs))
+    lines = F.transform("runs", lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    order = F.array_min(F.transform("runs", lambda run: F.struct(-run["length"], run["start"], run["period"])))
+    # Structs name their fields by position here.
+    length, start, period = -order["col1"], order["start"], order["period"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
