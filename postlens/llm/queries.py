@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from postlens.llm import (
     arc_warc,
     language_id,
+    manifest,
     merkle,
     mixing,
     periods,
@@ -198,3 +199,72 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
         "n_words",
     )
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = manifest.versions(manifest.document_leaves(read_table(spark, sf_dir, "documents")))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _crc32_sql(text: str) -> str:
+    digits = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    turns = "lambda d, z: xor(d >> 1, 3988292384 * (d & 1))"
+    zeros = "[CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]"
+    step = f"lambda c, b: list_reduce(list_concat([xor(c, b)], {zeros}), {turns})"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {digits}), {step}), 4294967295)"
+
+
+def _in_leaf_sql(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+_HEAD_SQL = " || ".join(map(_in_leaf_sql, ("doc_id", "source", "lang", "n_chars")))
+_LOWER_SQL = f"translate(text, '{manifest.UPPER}', '{manifest.LOWER}')"
+_LEVEL_SQL = """SELECT tree, lvl + 1, at // 8, sha256(string_agg(digest, '' ORDER BY at)), max((n + 7) // 8)
+  FROM {0} WHERE n > 1 GROUP BY tree, lvl, at // 8"""
+
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, sha256({_HEAD_SQL} || {_in_leaf_sql("text")}) AS leaf,
+         CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 3 = 0
+              THEN sha256({_HEAD_SQL} || {_in_leaf_sql(_LOWER_SQL)}) END AS changed
+  FROM documents),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY lang) AS n,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS at
+  FROM leaves),
+nodes(tree, lvl, at, digest, n) AS (
+  SELECT tree, 0, at, leaf, n FROM placed UNION ALL {_LEVEL_SQL.format("nodes")}),
+forest(tree, lvl, at, digest, n) AS (
+  SELECT 0, 0, tree, digest, count(*) OVER () FROM nodes WHERE n = 1 UNION ALL {_LEVEL_SQL.format("forest")}),
+steps AS (
+  SELECT p.doc_id, p.leaf, p.at, p.tree, s.lvl, s.at AS place, s.digest, p.at >> (3 * s.lvl) AS own
+  FROM placed p JOIN nodes s ON s.tree = p.tree AND s.n > 1 AND s.at >> 3 = p.at >> (3 * s.lvl + 3)
+  UNION ALL
+  SELECT p.doc_id, p.leaf, p.at, p.tree, 100 + s.lvl, s.at, s.digest, p.tree >> (3 * s.lvl)
+  FROM placed p JOIN forest s ON s.n > 1 AND s.at >> 3 = p.tree >> (3 * s.lvl + 3)),
+sides AS (
+  SELECT tree, at, lvl, coalesce(string_agg(digest, '' ORDER BY place) FILTER (place < own), '') AS left_side,
+         coalesce(string_agg(digest, '' ORDER BY place) FILTER (place > own), '') AS right_side
+  FROM steps GROUP BY tree, at, lvl),
+proofs AS (
+  SELECT tree, at, string_agg(left_side || right_side, '' ORDER BY lvl) AS proof,
+         list(left_side || '|' || right_side ORDER BY lvl) AS path
+  FROM sides GROUP BY tree, at),
+folded AS (
+  SELECT p.doc_id, p.leaf, s.digest AS subroot, r.digest AS root, sha256(coalesce(f.proof, '')) AS proof_sha256,
+         list_reduce(list_concat([coalesce(p.changed, p.leaf)], coalesce(f.path, [])),
+           lambda a, x: sha256(split_part(x, '|', 1) || a || split_part(x, '|', 2))) AS folded_root
+  FROM placed p JOIN nodes s ON s.tree = p.tree AND s.n = 1 JOIN forest r ON r.n = 1
+  LEFT JOIN proofs f ON f.tree = p.tree AND f.at = p.at)
+SELECT *, folded_root = root AS verified FROM folded
+"""
