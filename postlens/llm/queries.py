@@ -17,6 +17,7 @@ from postlens.llm import (
     pii,
     piece_fst,
     repetition,
+    rp_forest,
     simhash,
     toxicity,
     url_trie,
@@ -229,8 +230,8 @@ def _in_leaf_sql(value: str) -> str:
 
 _HEAD_SQL = " || ".join(map(_in_leaf_sql, ("doc_id", "source", "lang", "n_chars")))
 _LOWER_SQL = f"translate(text, '{manifest.UPPER}', '{manifest.LOWER}')"
-_LEVEL_SQL = """SELECT tree, lvl + 1, at // 8, sha256(string_agg(digest, '' ORDER BY at)), max((n + 7) // 8)
-  FROM {0} WHERE n > 1 GROUP BY tree, lvl, at // 8"""
+_LEVEL_SQL = """SELECT tree, lvl + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), max((n + 7) // 8)
+  FROM {0} WHERE n > 1 GROUP BY tree, lvl, pos // 8"""
 
 ORACLES["op12_merkle_manifest"] = f"""
 WITH RECURSIVE leaves AS (
@@ -240,31 +241,36 @@ WITH RECURSIVE leaves AS (
   FROM documents),
 placed AS (
   SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY lang) AS n,
-         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS at
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
   FROM leaves),
-nodes(tree, lvl, at, digest, n) AS (
-  SELECT tree, 0, at, leaf, n FROM placed UNION ALL {_LEVEL_SQL.format("nodes")}),
-forest(tree, lvl, at, digest, n) AS (
+nodes(tree, lvl, pos, digest, n) AS (
+  SELECT tree, 0, pos, leaf, n FROM placed UNION ALL {_LEVEL_SQL.format("nodes")}),
+forest(tree, lvl, pos, digest, n) AS (
   SELECT 0, 0, tree, digest, count(*) OVER () FROM nodes WHERE n = 1 UNION ALL {_LEVEL_SQL.format("forest")}),
 steps AS (
-  SELECT p.doc_id, p.leaf, p.at, p.tree, s.lvl, s.at AS place, s.digest, p.at >> (3 * s.lvl) AS own
-  FROM placed p JOIN nodes s ON s.tree = p.tree AND s.n > 1 AND s.at >> 3 = p.at >> (3 * s.lvl + 3)
+  SELECT p.doc_id, p.leaf, p.pos, p.tree, s.lvl, s.pos AS place, s.digest, p.pos >> (3 * s.lvl) AS own
+  FROM placed p JOIN nodes s ON s.tree = p.tree AND s.n > 1 AND s.pos >> 3 = p.pos >> (3 * s.lvl + 3)
   UNION ALL
-  SELECT p.doc_id, p.leaf, p.at, p.tree, 100 + s.lvl, s.at, s.digest, p.tree >> (3 * s.lvl)
-  FROM placed p JOIN forest s ON s.n > 1 AND s.at >> 3 = p.tree >> (3 * s.lvl + 3)),
+  SELECT p.doc_id, p.leaf, p.pos, p.tree, 100 + s.lvl, s.pos, s.digest, p.tree >> (3 * s.lvl)
+  FROM placed p JOIN forest s ON s.n > 1 AND s.pos >> 3 = p.tree >> (3 * s.lvl + 3)),
 sides AS (
-  SELECT tree, at, lvl, coalesce(string_agg(digest, '' ORDER BY place) FILTER (place < own), '') AS left_side,
+  SELECT tree, pos, lvl, coalesce(string_agg(digest, '' ORDER BY place) FILTER (place < own), '') AS left_side,
          coalesce(string_agg(digest, '' ORDER BY place) FILTER (place > own), '') AS right_side
-  FROM steps GROUP BY tree, at, lvl),
+  FROM steps GROUP BY tree, pos, lvl),
 proofs AS (
-  SELECT tree, at, string_agg(left_side || right_side, '' ORDER BY lvl) AS proof,
+  SELECT tree, pos, string_agg(left_side || right_side, '' ORDER BY lvl) AS proof,
          list(left_side || '|' || right_side ORDER BY lvl) AS path
-  FROM sides GROUP BY tree, at),
+  FROM sides GROUP BY tree, pos),
 folded AS (
   SELECT p.doc_id, p.leaf, s.digest AS subroot, r.digest AS root, sha256(coalesce(f.proof, '')) AS proof_sha256,
          list_reduce(list_concat([coalesce(p.changed, p.leaf)], coalesce(f.path, [])),
            lambda a, x: sha256(split_part(x, '|', 1) || a || split_part(x, '|', 2))) AS folded_root
   FROM placed p JOIN nodes s ON s.tree = p.tree AND s.n = 1 JOIN forest r ON r.n = 1
-  LEFT JOIN proofs f ON f.tree = p.tree AND f.at = p.at)
+  LEFT JOIN proofs f ON f.tree = p.tree AND f.pos = p.pos)
 SELECT *, folded_root = root AS verified FROM folded
 """
+
+
+@query
+def op13_vector_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.near_duplicates(read_table(spark, sf_dir, "embeddings"))
