@@ -36,6 +36,7 @@ WEIGHTS = (1.0, 2.0, 3.0)
 MAX_REPEATS = 3
 BLOCK_WORDS = 32
 SHARD_WORDS = 50_000
+SHARDS_PER_TASK = 100
 SEED = 17
 
 
@@ -106,8 +107,8 @@ def source_targets(
 QUOTAS = "shard long, party string, words long, blocks long, quota long, source_size long, target double"
 
 
-def quotas(sums: DataFrame, targets: DataFrame, max_repeats: int, block_words: int) -> DataFrame:
-    """The quota of each source in each shard, from ``(shard, party, words)``."""
+def quotas(sums: DataFrame, targets: DataFrame, max_repeats: int, block_words: int, shards: int) -> DataFrame:
+    """The quota of each source in each of so many shards, from ``(shard, party, words)``."""
 
     def share(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.assign(last=shard["party"] == "").sort_values(["last", "party"])
@@ -119,7 +120,9 @@ def quotas(sums: DataFrame, targets: DataFrame, max_repeats: int, block_words: i
         shard = shard.assign(blocks=blocks, quota=given)
         return shard[["shard", "party", "words", "blocks", "quota", "source_size", "target"]]
 
-    return sums.join(targets, "party").groupBy("shard").applyInPandas(share, QUOTAS)
+    # A stated number of parts is not merged by size: a shard is few bytes but much work.
+    dealt = sums.join(targets, "party").repartition(max(1, math.ceil(shards / SHARDS_PER_TASK)), "shard")
+    return dealt.groupBy("shard").applyInPandas(share, QUOTAS)
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -149,13 +152,15 @@ def mix(
     taken in the last pass as ``first_start, first_end`` and ``second_start, second_end`` (that pass may
     run around the end of the sequence) and ``taken``, the words of all passes together.
     """
-    place = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))
+    # The text takes part, so that rows without an id, or of one id, are in all shards too.
+    place = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "tie")
     targets = source_targets(docs.select("party", "size"), weights, max_repeats, budget)
     targets = materialise(targets, "mix-targets")
     total = targets.agg(F.sum("source_size")).first()[0] or 0
-    shard = F.pmod(place, F.lit(max(1, math.ceil(total / shard_words)))).cast("long")
+    shards = max(1, math.ceil(total / shard_words))
+    shard = F.pmod(place, F.lit(shards)).cast("long")
     sums = docs.groupBy(shard.alias("shard"), "party").agg(F.sum("size").alias("words"))
-    shares = materialise(quotas(sums, targets, max_repeats, block_words), "mix-quotas")
+    shares = materialise(quotas(sums, targets, max_repeats, block_words, shards), "mix-quotas")
     order = [F.xxhash64(F.lit(seed + 1), F.col("doc_id").cast("string")), F.col("doc_id"), F.col("size"), F.col("tie")]
     inside = Window.partitionBy("shard", "party").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     placed = docs.withColumn("shard", shard).withColumn("stop", F.sum("size").over(inside))

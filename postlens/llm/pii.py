@@ -259,16 +259,77 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text")
     )
 
 
+def united(spans: Column) -> tuple[Column, Column]:
+    """What is left of sorted spans ``(start, kind, end)`` when those that overlap are one: an array of
+    ``(before, start, kind)``, the end of all spans before, the start, and the kind of the span that starts first;
+    and the end of the last."""
+    kind = "array<struct<before:int,start:int,kind:int>>"
+    part_kind = "array<struct<at:int,parts:array<struct<start:int,kind:int,end:int>>>>"
+
+    def step(state: Column, span: Column) -> Column:
+        one = F.array(F.struct(state["at"].alias("before"), span["start"].alias("start"), span["kind"].alias("kind")))
+        found = F.when(span["start"] >= state["at"], F.concat(state["found"], one)).otherwise(state["found"])
+        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), found.alias("found"))
+
+    def open_block(state: Column, parts: Column) -> Column:
+        block = F.array(F.struct(state["at"].alias("at"), parts.alias("parts")))
+        at = F.greatest(state["at"], F.array_max(F.transform(parts, lambda span: span["end"])))
+        return F.struct(at.alias("at"), F.concat(state["blocks"], block).alias("blocks"))
+
+    def inside(block: Column) -> Column:
+        first = F.struct(block["at"].alias("at"), F.array().cast(kind).alias("found"))
+        return F.aggregate(block["parts"], first, step, lambda state: state["found"])
+
+    cut = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / BLOCK).cast("int")), lambda i: F.slice(spans, i * BLOCK + 1, F.lit(BLOCK))
+    )
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(part_kind).alias("blocks"))
+    blocks = F.aggregate(cut, start, open_block, lambda state: state["blocks"])
+    return F.flatten(F.transform(blocks, inside)), F.array_max(F.transform(spans, lambda span: span["end"]))
+
+
+def part_of(blocks: str, start: Column, end: Column) -> Column:
+    """The text from ``start`` to ``end`` (excluded) of one that is cut into pieces of ``BLOCK`` code points."""
+    first, last = F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")
+    within = F.substr(F.get(blocks, first), start % BLOCK + 1, end - start)
+    head, tail = F.substr(F.get(blocks, first), start % BLOCK + 1), F.substr(F.get(blocks, last), F.lit(1), end - last * BLOCK)
+    middle = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    return F.when(end <= start, F.lit("")).when(first == last, within).otherwise(F.concat(head, middle, tail))
+
+
 def redact(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The columns of ``docs`` with every span replaced by its kind in brackets. The kinds are replaced in
-    turn, each in the text that the kinds before have left. Null texts stay null."""
+    """The columns of ``docs`` with every span that ``find_personal_data`` lists replaced by its kind in
+    brackets. Spans that overlap become one mark, of the kind that starts first (at one place: that is listed
+    first). A mark may part characters that hid a base span from its check, as digits next to a card; such spans
+    are replaced then, kind after kind; they need no context, so marks speak for nothing. Null texts stay null."""
     df = packed(docs).withColumn("body", F.coalesce(F.col("row.text").cast("string"), F.lit("")))
-    for kind in KINDS:
-        mark = F.lit(f"[{kind.name.upper()}]")
-        pieces = F.transform(
-            "items", lambda x: F.concat(x["gap"], F.when(x["score"] >= threshold, mark).otherwise(x["hit"]))
+    df = with_spans(df, "body", threshold)
+
+    def numbered(number: int) -> Column:
+        return F.transform(
+            f"spans_{KINDS[number].name}",
+            lambda span: F.struct(span["start"].alias("start"), F.lit(number).alias("kind"), span["end"].alias("end")),
         )
-        changed = F.when(F.size("items") > 0, F.concat(F.array_join(pieces, ""), F.col("tail"))).otherwise(F.col("body"))
-        df = judged(df, "body", kind).withColumn("next", changed).drop("items", "tail", "body")
-        df = df.withColumnRenamed("next", "body")
-    return with_text(df.withColumn("body", F.when(F.col("row.text").isNotNull(), F.col("body"))), docs, "body")
+
+    every = map(numbered, range(len(KINDS)))
+    df = df.select("row", "body", F.array_sort(F.concat(*every)).alias("spans"))
+    some = F.size("spans") > 0
+    unions, end = united(F.col("spans"))
+    df = df.withColumn("unions", F.when(some, unions)).withColumn("end", F.when(some, end))
+    # In pieces, so that a part of a long text is found without reading all that is before it.
+    df = df.withColumn("blocks", F.when(some, F.regexp_extract_all("body", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))))
+    marks = F.array(*[F.lit(f"[{kind.name.upper()}]") for kind in KINDS])
+    pieces = F.transform(
+        "unions", lambda one: F.concat(part_of("blocks", one["before"], one["start"]), F.get(marks, one["kind"]))
+    )
+    rest = part_of("blocks", F.col("end"), F.length("body"))
+    df = df.withColumn("marked", F.when(some, F.concat(F.array_join(pieces, ""), rest)).otherwise(F.lit("")))
+    df = df.select("row", "body", some.alias("some"), "marked")
+    for kind in BASE_KINDS:
+        mark = F.lit(f"[{kind.name.upper()}]")
+        parts = F.transform("items", lambda x: F.concat(x["gap"], F.when(x["score"] > 0, mark).otherwise(x["hit"])))
+        changed = F.when(F.size("items") > 0, F.concat(F.array_join(parts, ""), F.col("tail"))).otherwise(F.col("marked"))
+        df = judged(df, "marked", kind).withColumn("next", changed).drop("items", "tail", "marked")
+        df = df.withColumnRenamed("next", "marked")
+    text = F.when(F.col("row.text").isNull(), None).when(F.col("some"), F.col("marked")).otherwise(F.col("body"))
+    return with_text(df.withColumn("redacted", text), docs, "redacted")
