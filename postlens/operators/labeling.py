@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.functions.values import label_to_int, yes_no
@@ -14,6 +14,20 @@ from postlens.session import materialise
 Labeler = Callable[[Sequence[str]], Sequence[str]]
 
 
+def _ask(make_labeler: Callable[[], Labeler]) -> Callable[[Column], Column]:
+    @F.pandas_udf("string")
+    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        labeler = make_labeler()
+        for texts in batches:
+            present = texts.notna()
+            answers = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+            if present.any():
+                answers[present] = list(labeler(texts[present].tolist()))
+            yield answers
+
+    return ask.asNondeterministic()
+
+
 def label_with(
     df: DataFrame,
     text: str,
@@ -29,21 +43,54 @@ def label_with(
     written once and read back; ``columns`` names what to keep next to the label.
     """
 
-    @F.pandas_udf("string")
-    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        labeler = make_labeler()
-        for texts in batches:
-            present = texts.notna()
-            answers = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-            if present.any():
-                answers[present] = list(labeler(texts[present].tolist()))
-            yield answers
-
-    labelled = df.withColumn("_answer", ask.asNondeterministic()(F.col(text)))
+    labelled = df.withColumn("_answer", _ask(make_labeler)(F.col(text)))
     labelled = labelled.select(*(columns if columns is not None else df.columns), yes_no(F.col("_answer")).alias(name))
     return materialise(labelled, "labels") if keep else labelled
 
 
+ANSWERS = "digest string, answer string"
+
+
+def stored_answers(spark: SparkSession, path: str) -> DataFrame:
+    """What a labeler has answered so far: ``(digest, answer)``, one row for each different text."""
+    # Adding nothing makes an empty store where there is none.
+    spark.createDataFrame([], ANSWERS).coalesce(1).write.mode("append").parquet(path)
+    return spark.read.schema(ANSWERS).parquet(path).dropDuplicates(["digest"])
+
+
+def label_with_store(
+    df: DataFrame,
+    text: str,
+    make_labeler: Callable[[], Labeler],
+    store: str,
+    name: str = "label",
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Label rows as ``label_with`` does, but ask for no text that the store has an answer to, and only once
+    for texts that many rows share.
+
+    Texts are told apart by their SHA-256. The digests of the rows, each once, are held against the store; only
+    texts whose digests are new move, one row for each, and their answers are added to the store
+    as soon as they are all there. Rows then meet their answers by digest; a text that a third of all rows
+    share is one row on the store's side. A null text is not asked about and has no label. The store keeps raw
+    answers; use another store for another labeler.
+    """
+    spark = df.sparkSession
+    rows = df.withColumn("_digest", F.sha2(F.col(text).cast("binary"), 256))
+    known = stored_answers(spark, store)
+    fresh = rows.select("_digest").dropna().distinct().join(known, F.col("_digest") == F.col("digest"), "left_anti")
+    fresh = materialise(fresh.select(F.col("_digest").alias("digest")), "labels-new")
+    # Every row of a digest has the same text; the map tasks keep one each.
+    asked = rows.join(fresh, F.col("_digest") == F.col("digest"), "left_semi")
+    asked = asked.groupBy("_digest").agg(F.min(text).alias(text)).withColumnRenamed("_digest", "digest")
+    answers = asked.select("digest", _ask(make_labeler)(F.col(text)).alias("answer"))
+    materialise(answers, "labels-answers").write.mode("append").parquet(store)
+    kept = rows.select("_digest", *(columns if columns is not None else df.columns))
+    known = stored_answers(spark, store).withColumnRenamed("answer", "_answer")
+    labelled = kept.join(known, F.col("_digest") == F.col("digest"), "left")
+    return labelled.select(*(columns if columns is not None else df.columns), yes_no(F.col("_answer")).alias(name))
+
+
 def keyword_labeler(words: Iterable[str]) -> Callable[[], Labeler]:
     """A labeler that answers yes where a text holds one of the words; for tests and dry runs."""
     wanted = [word.lower() for word in words]

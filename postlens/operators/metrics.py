@@ -28,17 +28,25 @@ def confusion_pairs(df: DataFrame, label: str = "label", prediction: str = "pred
     return pairs.groupBy("actual", "predicted").agg(F.count("*").alias("n"))
 
 
+#: Classes that may become columns.
+MAX_CLASSES = 1000
+
+
 def confusion_matrix(
     df: DataFrame, label: str = "label", prediction: str = "prediction", classes: Sequence[int] | None = None
 ) -> DataFrame:
     """One row per actual class, one column per predicted class.
 
-    Without a list there is a column for every class predicted; with one, predictions of other classes
-    (null too) are counted in ``predicted_other``, so no row of the input is lost.
+    Without a list there is a column for every class predicted, ``MAX_CLASSES`` at most: more are an error, and
+    ``confusion_pairs`` gives them as rows. With a list, predictions of other classes (null too) are counted in
+    ``predicted_other``, so no row of the input is lost.
     """
     pairs = confusion_pairs(df, label, prediction)
     if classes is None:
-        classes = [row["predicted"] for row in pairs.select("predicted").distinct().orderBy("predicted").collect()]
+        found = pairs.select("predicted").distinct().limit(MAX_CLASSES + 1).collect()
+        if len(found) > MAX_CLASSES:
+            raise ValueError(f"more than {MAX_CLASSES} classes are predicted; name the classes or use confusion_pairs")
+        classes = sorted((row["predicted"] for row in found), key=lambda value: (value is not None, value or 0))
         return _spread(pairs, [value for value in classes if value is not None], None in classes)
     return _spread(pairs, classes, True)
 

@@ -119,18 +119,31 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counts.unpivot([], df.columns, "column", "n_null")
 
 
+#: Longer values are told apart by a digest, which is no shorter than that.
+LONG_VALUE = 64
+
+
+def _mark(value: Column, kind: T.DataType) -> Column:
+    """A short text that equal values of a column share, and no others; null for null."""
+    text = comparable(value, kind)
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
+        return F.when(value.isNotNull(), F.sha2(F.to_json(F.struct(text)), 256))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        # A mark in front keeps a text apart from a digest that reads like it.
+        return F.when(F.length(text) > LONG_VALUE, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(F.concat(F.lit("="), text))
+    return text
+
+
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct values per column, null left out, as rows ``(column, n_distinct)``.
 
-    Each value goes to the shuffle once per task as ``(column, digest)``; counting several columns in one
-    aggregate would carry every column of every copy of a row.
+    Each value goes to the shuffle once per task as ``(column, value)``; counting several columns in one
+    aggregate would carry every column of every copy of a row. Plain values go as they are, in text; texts and
+    binary values over ``LONG_VALUE`` characters, and arrays, structs and maps, go as digests.
     """
     columns = list(columns or df.columns)
     kinds = {f.name: f.dataType for f in df.schema}
-    marks = [
-        F.when(F.col(name).isNotNull(), F.sha2(F.to_json(F.struct(comparable(F.col(name), kinds[name]))), 256)).alias(name)
-        for name in columns
-    ]
+    marks = [_mark(F.col(name), kinds[name]).alias(name) for name in columns]
     values = df.select(*marks).unpivot([], columns, "column", "digest").distinct()
     return values.groupBy("column").agg(F.count("digest").alias("n_distinct"))
 

@@ -10,9 +10,11 @@ from postlens.functions import values as vl
 from postlens.operators import cleaning as cl
 from postlens.operators import profile as pf
 from postlens.operators import reports as rp
+from postlens.operators import sketches as sk
 from postlens.operators.joins import distinct_values
 from postlens.plans.registry import query
 from postlens.plans.tables import POSTS_SQL, URL_SQL, day_text, hash_sql, posts, table
+from postlens.session import scratch_path
 from postlens.sources.readers import flatten_listing, json_field
 
 AUTHOR = 8
@@ -487,3 +489,38 @@ def listing_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
 def json_field_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", json_field("props", "$.k", "int").alias("k"))
+
+
+DAY_RANGES = [("2024-01-02", "2024-01-09"), ("2024-01-10", "2024-01-24"), ("2024-01-01", "2024-01-31")]
+DAY_RANGES_SQL = ", ".join(f"('{first}', '{last}')" for first, last in DAY_RANGES)
+
+
+@query(f"""
+WITH {POSTS_SQL}, ranges(first_day, last_day) AS (VALUES {DAY_RANGES_SQL})
+SELECT first_day, last_day, count(*) AS n_rows, true AS authors_close, true AS median_close
+FROM posts JOIN ranges ON date_local BETWEEN CAST(first_day AS DATE) AND CAST(last_day AS DATE) GROUP BY ALL""")
+def sketch_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments, different authors and the median value of ranges of days, from stored sketches of days; the
+    estimates are held against all rows and their stated errors."""
+    path = scratch_path(spark, "sketches")
+    rows = posts(spark, sf_dir)
+    sk.store_sketches(sk.day_sketches(rows, "date_local", "author", "value"), path)
+    found = None
+    for first, last in DAY_RANGES:
+        one = sk.merged(sk.read_sketches(spark, path, first, last), quantiles=[0.5])
+        one = one.select(F.lit(first).alias("first_day"), F.lit(last).alias("last_day"), "*")
+        found = one if found is None else found.unionByName(one)
+    spans = F.array(*[F.struct(F.lit(first).alias("first_day"), F.lit(last).alias("last_day")) for first, last in DAY_RANGES])
+    day = F.col("date_local").cast("string")
+    ranged = rows.select("author", "value", F.explode(F.filter(spans, lambda span: day.between(span["first_day"], span["last_day"]))).alias("span"))
+    ranged = ranged.select("author", "value", "span.*").join(found.select("first_day", F.get("quantiles", F.lit(0)).alias("median")), "first_day")
+    value = F.col("value").cast("double")
+    exact = ranged.groupBy("first_day").agg(
+        F.count_distinct("author").alias("authors"),
+        (F.count_if(value < F.col("median")) / F.count("value")).alias("below"),
+        (F.count_if(value <= F.col("median")) / F.count("value")).alias("up_to"),
+    )
+    # Four standard errors, and one more for very few authors.
+    authors = F.abs(F.col("n_distinct") - F.col("authors")) <= 4 * sk.RELATIVE_ERROR * F.col("authors") + 1
+    median = (F.col("below") - sk.RANK_ERROR <= 0.5) & (F.col("up_to") + sk.RANK_ERROR >= 0.5)
+    return found.join(exact, "first_day").select("first_day", "last_day", "n_rows", authors.alias("authors_close"), median.alias("median_close"))

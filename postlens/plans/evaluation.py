@@ -104,6 +104,21 @@ def keyword_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lb.with_label_int(labelled).select("doc_id", "label", "label_int")
 
 
+@query(f"""
+SELECT doc_id, CASE WHEN {KEYWORD_SQL} THEN 'yes' ELSE 'no' END AS label,
+       (SELECT count(DISTINCT text) FROM documents) AS n_answers FROM documents""")
+def keyword_label_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels through a store of answers: two pulls, the second of which holds all of the first. A text is asked
+    about once, however many rows and pulls hold it."""
+    store = scratch_path(spark, "answers")
+    docs, labeler = documents(spark, sf_dir), lb.keyword_labeler(KEYWORDS)
+    lb.label_with_store(docs.filter("doc_id % 2 = 0"), "text", labeler, store)
+    labelled = lb.label_with_store(docs, "text", labeler, store, columns=["doc_id"])
+    # Counted by rows of the store: a text asked about twice would be two.
+    answers = spark.read.schema(lb.ANSWERS).parquet(store)
+    return labelled.select("doc_id", "label", answers.agg(F.count("*")).scalar().alias("n_answers"))
+
+
 @query(f"""
 WITH answers AS (SELECT doc_id, CASE WHEN {KEYWORD_SQL} THEN 1 ELSE 0 END AS guess FROM documents),
 pairs AS (SELECT guess, toxic FROM answers JOIN labels USING (doc_id)),

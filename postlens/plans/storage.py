@@ -11,7 +11,7 @@ from postlens.operators.joins import union_all
 from postlens.plans.registry import query
 from postlens.plans.tables import POSTS_SQL, day_text, posts, rule_predictions, table
 from postlens.session import scratch_path
-from postlens.sources import readers, writers
+from postlens.sources import keyed, readers, writers
 
 DOCUMENT_SCHEMA = T.StructType(
     [
@@ -136,3 +136,47 @@ def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = rule_predictions(spark, sf_dir).groupBy("prediction", "label").agg(F.count("*").alias("n"))
     writers.write_csv(counts, path)
     return readers.read_csv(spark, path, T.StructType.fromDDL("prediction int, label int, n long"))
+
+
+@query("""
+SELECT doc_id, CASE WHEN toxic = 1 THEN 1 - quality ELSE quality END AS quality, toxic FROM labels
+UNION ALL SELECT doc_id + 100000000, quality, 1 AS toxic FROM labels WHERE quality = 0""")
+def upsert_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two upserts into a table in key buckets: changed rows, then changed and new ones; only touched buckets are
+    rewritten."""
+    path = scratch_path(spark, "keyed")
+    labels = table(spark, sf_dir, "labels")
+    keyed.create_keyed(labels, path, ["doc_id"], buckets=32)
+    turned = labels.filter("toxic = 1").withColumn("quality", F.lit(7))
+    keyed.upsert_keyed(path, turned)
+    again = labels.filter("toxic = 1").withColumn("quality", 1 - F.col("quality"))
+    added = labels.filter("quality = 0").withColumns({"doc_id": F.col("doc_id") + 100000000, "toxic": F.lit(1)})
+    keyed.upsert_keyed(path, union_all(again, added))
+    return keyed.read_keyed(spark, path).select("doc_id", "quality", "toxic")
+
+
+@query("""
+SELECT event_type AS sr, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY ALL""")
+def changed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table that learns of new partitions by what two runs wrote, without listing its folder."""
+    path = scratch_path(spark, "events-changed")
+    events = table(spark, sf_dir, "events").select(*EVENT_COLUMNS, F.col("event_type").alias("sr"), F.to_date("ts").alias("dt"))
+    schema = T.StructType.fromDDL("event_id long, user_id long, value double, sr string, dt date")
+    name = "changed_" + path.rsplit("-", 1)[-1]
+    for part in (events.filter("dt < DATE '2024-01-20'"), events.filter("dt >= DATE '2024-01-20'")):
+        writers.write_partitioned(part, path, by=["sr", "dt"])
+        rows = readers.add_partitions(spark, name, path, schema, ["sr", "dt"], writers.written_partitions(part, ["sr", "dt"]))
+    return rows.groupBy("sr", day_text("dt").alias("day")).agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT CASE WHEN event_id % 17 = 0 THEN 'reject' ELSE 'good' END AS kind, event_type AS sub_reddit,
+       CASE WHEN event_id % 17 <> 0 THEN json_extract_string(props, '$.k') END AS k, count(*) AS n FROM events GROUP BY ALL""")
+def json_without_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties of events read without naming their fields first; texts broken by rule are told apart."""
+    events = table(spark, sf_dir, "events")
+    broken = F.when(F.col("event_id") % 17 == 0, F.left("props", F.length("props") - 1)).otherwise(F.col("props"))
+    good, rejects = readers.parsed_json(events.withColumn("props", broken), "props")
+    good = readers.json_fields(good, "parsed", {"k": ("$.k", "string")}).withColumn("kind", F.lit("good"))
+    rows = union_all(good.select("kind", "event_type", "k"), rejects.select(F.lit("reject").alias("kind"), "event_type"))
+    return rows.groupBy("kind", F.col("event_type").alias("sub_reddit"), "k").agg(F.count("*").alias("n"))

@@ -9,6 +9,7 @@ from postlens.functions import text as tx
 from postlens.functions.stopwords import ENGLISH, EXPLORATION, MODEL_SHORT
 from postlens.learning.features import hashed_counts, idf_stage, vocabulary_counts
 from postlens.operators import frequency as fq
+from postlens.operators import idf_state
 from postlens.plans.registry import query
 from postlens.plans.tables import (
     ENGLISH_SQL,
@@ -24,7 +25,7 @@ from postlens.plans.tables import (
     word_list_sql,
     words_sql,
 )
-from postlens.session import materialise
+from postlens.session import materialise, scratch_path
 
 FLAGGED_SQL = "(SELECT doc_id FROM labels WHERE toxic = 1)"
 
@@ -270,3 +271,17 @@ def idf_stage_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     most = F.ln((documents_read + 1) / (F.greatest("df", F.lit(5)) + 1))
     exact = F.abs(F.col("weight") - F.when(F.col("df") >= 5, own).otherwise(0.0)) < 1e-9
     return weighed.select("token", "df", F.when(alone, exact).otherwise(F.col("weight") <= most + 1e-9).alias("agrees"))
+
+
+@query(f"""
+WITH {words_sql()},
+counts AS (SELECT token, count(DISTINCT doc_id) AS df FROM words GROUP BY token HAVING count(DISTINCT doc_id) >= 2)
+SELECT token, df, {IDF_SQL} AS idf FROM counts""")
+def idf_by_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The IDF of all documents, summed up from parts stored by three pulls, the last of which pulls some days
+    again."""
+    path = scratch_path(spark, "idf-days")
+    rows = _letters(spark, sf_dir).withColumn("day", F.col("doc_id") % 7)
+    for days in ((0, 1, 2), (3, 4), (4, 5, 6)):
+        idf_state.add_days(rows.filter(F.col("day").isin(*days)), "letters", "day", path, ENGLISH)
+    return _rounded(idf_state.idf_of_days(spark, path), "idf")

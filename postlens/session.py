@@ -27,10 +27,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where that is unset, one under the warehouse, which lies
-    on the session's file system too. Neither is a folder of one machine on a cluster."""
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, one under the warehouse.
+
+    On a cluster an unset folder is an error if the warehouse lies on a local disk, as it does by default:
+    what one executor wrote there no other would find.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    return (base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
+    if base:
+        return base.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = warehouse.startswith(("file:", "/"))
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return f"{warehouse}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -91,6 +91,56 @@ def register_partitions(spark: SparkSession, table: str, path: str, schema: T.St
     return spark.table(table)
 
 
+PARTITIONS_PER_STATEMENT = 200
+
+
+def add_partitions(
+    spark: SparkSession, table: str, path: str, schema: T.StructType, by: list[str], written: list[tuple]
+) -> DataFrame:
+    """Make a partitioned folder a catalog table and add the partitions that a run wrote, as the writer names
+    them. No folder is listed, so it costs what the run changed and not what the table holds."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    keys = ", ".join(f"`{name}`" for name in by)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{table}` ({columns}) USING PARQUET PARTITIONED BY ({keys}) LOCATION '{path}'")
+
+    def spec(values: tuple) -> str:
+        return "PARTITION (" + ", ".join(f"`{name}` = {_sql_literal(value)}" for name, value in zip(by, values, strict=True)) + ")"
+
+    for at in range(0, len(written), PARTITIONS_PER_STATEMENT):
+        specs = " ".join(map(spec, written[at : at + PARTITIONS_PER_STATEMENT]))
+        spark.sql(f"ALTER TABLE `{table}` ADD IF NOT EXISTS {specs}")
+    if written:
+        # A partition that was there already may have other files now.
+        spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def _sql_literal(value: object) -> str:
+    if value is None:
+        return "null"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return text if isinstance(value, (int, float)) and not isinstance(value, bool) else f"'{text}'"
+
+
+def parsed_json(df: DataFrame, column: str, name: str = "parsed") -> tuple[DataFrame, DataFrame]:
+    """Rows with a column of JSON as a variant, whose fields need not be known, and the rows it is broken in, as
+    they came. A null column is no reject: its variant is null. Spark's parser ends at the end of the value; what
+    follows it plays no part."""
+    parsed = df.withColumn(name, F.try_parse_json(F.col(column)))
+    broken = F.col(name).isNull() & F.col(column).isNotNull()
+    return parsed.filter(~broken), parsed.filter(broken).drop(name)
+
+
+def json_schema(df: DataFrame, column: str = "parsed") -> DataFrame:
+    """One row ``(schema)``: the type that fits all variants of a column, merged by the map tasks."""
+    return df.agg(F.schema_of_variant_agg(F.col(column)).alias("schema"))
+
+
+def json_fields(df: DataFrame, column: str, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """Adds fields of a variant by path: ``{name: (path, type)}``; null where there is none or it does not fit."""
+    return df.withColumns({name: F.try_variant_get(F.col(column), path, kind) for name, (path, kind) in fields.items()})
+
+
 def flatten_listing(pages: DataFrame, column: str = "json", schema: T.StructType = schemas.LISTING) -> DataFrame:
     """One row per post of nested listing JSON (``data.children[].data``)."""
     return flatten_listing_with_rejects(pages, column, schema)[0]

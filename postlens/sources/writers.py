@@ -40,6 +40,12 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("sr", "sm",
     writer.option("maxRecordsPerFile", rows_per_file).partitionBy(*by).parquet(path)
 
 
+def written_partitions(df: DataFrame, by: Sequence[str] = ("sr", "sm", "dt")) -> list[tuple]:
+    """The folders that ``write_partitioned`` writes for these rows, as values of the keys: what a run changed.
+    Only the keys are read; there are as many as folders."""
+    return [tuple(row) for row in df.select(*by).distinct().collect()]
+
+
 def append_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
