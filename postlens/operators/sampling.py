@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.values import hash_fraction, seeded
+from postlens.session import materialise
 
 # Draws of a stratum that one row stands for before they are dealt out.
 DRAWS_PER_ROW = 10_000
@@ -64,6 +65,37 @@ def stratum_positions(
     )
 
 
+def bottom_k(
+    df: DataFrame, strata: Sequence[str], key: str, quotas: DataFrame, seed: int | str = "", part_digits: int = 3
+) -> DataFrame:
+    """The keys with the least digests of each stratum, as many as its ``quota``: ``(strata…, key, position)``.
+
+    The positions are those of ``stratum_positions``, but only sampled rows are numbered. Map tasks count rows
+    by the first digits of their digest; these counts tell, for each stratum, the last part that the quota
+    reaches. Rows beyond it stay in the scan, so what is shuffled is the sample and at most one part of each
+    stratum (with 3 digits a 4096th of it).
+    """
+    digest = F.md5(seeded(F.col(key), seed))
+    narrow = df.select(*strata, key, digest.alias("_digest"), F.substring(digest, 1, part_digits).alias("_part"))
+    sizes = narrow.groupBy(*strata, "_part").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(*strata).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+    same = [placed[name].eqNullSafe(quotas[name]) for name in strata]
+    reached = placed.join(quotas, [*same, placed["_before"] < quotas["quota"]], "inner").select(
+        *[placed[name].alias(f"_of_{name}") for name in strata], "_part", "_before", "quota"
+    )
+    # Few rows: the parts that hold sampled rows, and of each stratum the last of them.
+    reached = materialise(reached, "bottom-k-parts")
+    ends = reached.groupBy(*[f"_of_{name}" for name in strata]).agg(F.max("_part").alias("_end"))
+    within = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in strata]
+    rows = narrow.join(ends, [*within, F.col("_part") <= F.col("_end")], "inner").select(*narrow.columns)
+    place = F.row_number().over(Window.partitionBy(*strata, "_part").orderBy("_digest", key))
+    numbered = rows.withColumn("_place", place).withColumnRenamed("_part", "_in")
+    joined = numbered.join(reached, [*within, F.col("_in") == F.col("_part")], "inner")
+    position = F.col("_before") + F.col("_place") - 1
+    return joined.filter(position < F.col("quota")).select(*strata, key, position.alias("position"))
+
+
 def _draws(quotas: DataFrame, strata: Sequence[str], seed: int | str) -> DataFrame:
     """One row per draw with the position it hits. Two steps keep every array short."""
     chunks = quotas.filter(F.col("quota") > 0).withColumn(
@@ -87,17 +119,14 @@ def stratified_sample(
     Join the result to the table by key for the full rows.
     """
     quotas = strata_quotas(df, strata, n)
-    positions = stratum_positions(df, strata, key, seed)
     if replace:
+        positions = stratum_positions(df, strata, key, seed)
         picks = _draws(quotas, strata, seed)
         same = [positions[name].eqNullSafe(picks[name]) for name in strata]
         joined = positions.join(picks, [*same, positions["position"] == picks["position"]], "inner")
         return joined.select(*[positions[name] for name in strata], positions[key], picks["draw"])
-    same = [positions[name].eqNullSafe(quotas[name]) for name in strata]
-    joined = positions.join(quotas, [*same, positions["position"] < quotas["quota"]], "inner")
-    return joined.select(
-        *[positions[name] for name in strata], positions[key], (positions["position"] + 1).alias("draw")
-    )
+    lowest = bottom_k(df, strata, key, quotas, seed)
+    return lowest.select(*strata, key, (F.col("position") + 1).alias("draw"))
 
 
 def sampled_rows(df: DataFrame, sample: DataFrame, key: str) -> DataFrame:
