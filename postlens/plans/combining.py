@@ -34,6 +34,19 @@ def comment_submission_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jn.comments_with_submission(*_comments_and_submissions(spark, sf_dir))
 
 
+@query("""
+SELECT event_id AS comment_id, event_type AS submission_id, value, min(ts) OVER (PARTITION BY event_type) AS opened,
+       count(*) OVER (PARTITION BY event_type) AS no_comment
+FROM events WHERE event_type IS NOT NULL""")
+def hot_submission_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the facts of their type: a handful of keys, each with a large share of all rows."""
+    comments = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("comment_id"), F.col("event_type").alias("submission_id"), "value", "ts"
+    )
+    opened = comments.groupBy("submission_id").agg(F.min("ts").alias("opened"), F.count(F.lit(1)).alias("no_comment"))
+    return jn.comments_with_hot_submissions(comments.drop("ts"), opened)
+
+
 @query("""
 SELECT l_orderkey AS submission_id, l_partkey, l_linenumber, l_extendedprice FROM lineitem
 WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')""")
