@@ -12,6 +12,7 @@ from postlens.plans.registry import query
 from postlens.plans.tables import day_text, table
 from postlens.session import scratch_path
 from postlens.streaming import jobs
+from postlens.streaming import sessions as ss
 
 
 def _source(sf_dir: str, name: str) -> str:
@@ -81,6 +82,35 @@ def stream_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+SESSION_GAP, SESSION_DELAY = 3600, 86_400
+
+
+@query("""
+WITH marked AS (
+  SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS fresh
+  FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+numbered AS (
+  SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS nth FROM marked)
+SELECT user_id AS author, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_moment,
+       strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_moment, count(*) AS no_comment
+FROM numbered GROUP BY user_id, nth""")
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of authors kept up by a stream, with what came too late for them."""
+    out, checkpoint = scratch_path(spark, "sessions"), scratch_path(spark, "sessions-progress")
+    stream = _event_stream(spark, sf_dir)
+    jobs.run_to_end(
+        lambda: ss.write_sessions(stream, out, checkpoint, "dt", "author", SESSION_GAP, SESSION_DELAY, once=True)
+    )
+    found = ss.whole_sessions(spark, out, stream.schema, "dt", "author", SESSION_GAP)
+    text = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    return found.select(
+        "author",
+        F.date_format("first", text).alias("first_moment"),
+        F.date_format("last", text).alias("last_moment"),
+        F.col("n_comment").alias("no_comment"),
+    )
+
+
 @query("SELECT doc_id, count(*) AS times, true AS valid FROM documents GROUP BY doc_id")
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents cleaned and scored as they come: each once, as 0 or 1."""

@@ -39,7 +39,7 @@ def comment_stream(
     return stream.filter(F.col(time_column) >= F.lit(since).cast(schema[time_column].dataType))
 
 
-def _start(writer: DataStreamWriter, checkpoint: str, once: bool, every: str) -> StreamingQuery:
+def start_stream(writer: DataStreamWriter, checkpoint: str, once: bool, every: str) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
     return writer.start()
@@ -55,7 +55,7 @@ def write_stream(
     **options: str,
 ) -> StreamingQuery:
     """Append a stream to files, each row once."""
-    return _start(stream.writeStream.format(file_format).outputMode("append").options(**options, path=path), checkpoint, once, every)
+    return start_stream(stream.writeStream.format(file_format).outputMode("append").options(**options, path=path), checkpoint, once, every)
 
 
 def without_repeats(stream: DataFrame, time_column: str, key: str = "comment_id", delay: str | None = None) -> DataFrame:
@@ -104,7 +104,7 @@ def write_counts(
             batch = batch.unionByName(before.join(batch, same, "left_anti"))
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return _start(counts.writeStream.outputMode("update").foreachBatch(save), checkpoint, once, every)
+    return start_stream(counts.writeStream.outputMode("update").foreachBatch(save), checkpoint, once, every)
 
 
 def latest_counts(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
