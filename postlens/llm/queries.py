@@ -98,18 +98,54 @@ def _root_sql(text: str) -> str:
     return f"sha256(array_to_string(list_transform({runs}, lambda x: sha256(x)), ','))"
 
 
-def _sentences_sql(text: str) -> str:
-    ends = f"regexp_replace({text}, '([.!?|]) ', '\\1' || chr(10), 'g')"
-    return f"list_distinct(list_filter(string_split({ends}, chr(10)), lambda x: x <> ''))"
+#: Stands behind the last line of a section; no text of the tables holds it.
+_END = "chr(57344)"
 
 
-def _likeness_sql(a: str, b: str) -> str:
-    def weight(of: str) -> str:
-        return f"coalesce(list_sum(list_transform({of}, lambda x: least(length(x), 65535))), 0)"
+def _sections_sql(text: str) -> str:
+    """The sections of a text, each as its lines."""
+    marked = (
+        f"list_transform(string_split({text}, chr(10)), "
+        f"lambda x: x || CASE WHEN regexp_matches(sha256(x), '([01]|b855)$') THEN {_END} ELSE '' END)"
+    )
+    runs = f"string_split(array_to_string({marked}, chr(10)), {_END} || chr(10))"
+    return f"list_distinct(list_transform({runs}, lambda x: replace(x, {_END}, '')))"
+
+
+def _leaves_sql(line: str) -> str:
+    words = (
+        f"list_transform(string_split({line}, ' '), "
+        f"lambda w: w || CASE WHEN substr(md5(w), 1, 1) IN ('0', '1') THEN chr(10) ELSE ' ' END)"
+    )
+    return f"list_filter(string_split(array_to_string({words}, ''), chr(10)), lambda x: x <> '')"
+
+
+def _below_sql(nodes: str, others: str, inner: str) -> str:
+    """What is below the nodes that the other tree lacks."""
+    only = f"list_filter({nodes}, lambda x: NOT list_contains({others}, x))"
+    return f"list_distinct(flatten(list_transform({only}, lambda x: {inner})))"
+
+
+def _length_sql(lines: str) -> str:
+    """The length of the leaves of a list of lines."""
+    return f"coalesce(list_sum(list_transform({lines}, lambda p: length(array_to_string({_leaves_sql('p')}, '')))), 0)"
+
 
-    common = weight(f"list_intersect({a}, {b})")
-    either = f"({weight(a)} + {weight(b)} - {common})"
-    return f"CASE WHEN {either} > 0 THEN {common} / {either} ELSE 1.0 END"
+def _likeness_sql(pair: str, a: str, b: str) -> str:
+    """Tables that descend two trees, given as lists of sections; the last is called like ``pair``."""
+    lines = "string_split(x, chr(10))"
+    shared = f"flatten(list_transform(list_intersect({a}, {b}), lambda x: {lines}))"
+    size = lambda leaves: f"coalesce(list_sum(list_transform({leaves}, lambda x: length(x))), 0)"
+    only = lambda one, other: f"list_filter({one}, lambda x: NOT list_contains({other}, x))"
+    return f"""{pair}_lines AS (
+  SELECT place, {_length_sql(shared)} AS same, {_below_sql(a, b, lines)} AS a, {_below_sql(b, a, lines)} AS b FROM parts),
+{pair}_leaves AS (
+  SELECT place, same + {_length_sql("list_intersect(a, b)")} AS same, {_below_sql("a", "b", _leaves_sql("x"))} AS a,
+         {_below_sql("b", "a", _leaves_sql("x"))} AS b FROM {pair}_lines),
+{pair}_sums AS (
+  SELECT place, same + {size("list_intersect(a, b)")} AS same, {size(only("a", "b"))} + {size(only("b", "a"))} AS rest
+  FROM {pair}_leaves),
+{pair} AS (SELECT place, 2 * same / (2 * same + rest) AS likeness FROM {pair}_sums)"""
 
 
 ORACLES["op7_merkle"] = f"""
@@ -117,20 +153,21 @@ WITH texts AS (
   SELECT doc_id, coalesce(text, '') AS body, row_number() OVER (ORDER BY doc_id DESC) AS place, count(*) OVER () AS n
   FROM documents),
 pairs AS (
-  SELECT a.doc_id, a.body, b.doc_id AS next_id, b.body AS following, CAST(length(a.body) // 3 AS BIGINT) AS third
+  SELECT a.doc_id, a.place, a.body, b.doc_id AS next_id, b.body AS following, CAST(length(a.body) // 3 AS BIGINT) AS third
   FROM texts a JOIN texts b ON b.place = a.place % a.n + 1),
 edits AS (
   SELECT *, substr(body, 1, length(body) - third) || substr(following, 1, third) AS edited FROM pairs),
 parts AS (
-  SELECT *, {_sentences_sql("body")} AS own, {_sentences_sql("edited")} AS changed, {_sentences_sql("following")} AS ahead,
-         string_split(body, chr(10)) AS lines, string_split(edited, chr(10)) AS edited_lines FROM edits)
+  SELECT *, {_sections_sql("body")} AS own, {_sections_sql("edited")} AS changed, {_sections_sql("following")} AS ahead,
+         string_split(body, chr(10)) AS lines, string_split(edited, chr(10)) AS edited_lines FROM edits),
+{_likeness_sql("to_edited", "own", "changed")},
+{_likeness_sql("to_next", "own", "ahead")}
 SELECT doc_id, CAST(length(body) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, {_root_sql("body")} AS fingerprint,
-       {_root_sql("edited")} AS edited_fingerprint, {_likeness_sql("own", "changed")} AS near_edited,
-       {_likeness_sql("own", "ahead")} AS near_next, next_id,
+       {_root_sql("edited")} AS edited_fingerprint, e.likeness AS near_edited, f.likeness AS near_next, next_id,
        coalesce(list_min(list_filter(range(1, greatest(len(lines), len(edited_lines)) + 1),
          lambda i: lines[i] IS DISTINCT FROM edited_lines[i])), 0) AS first_changed_paragraph,
        len(lines) AS n_paragraphs
-FROM parts
+FROM parts JOIN to_edited e USING (place) JOIN to_next f USING (place)
 """
 
 
