@@ -86,6 +86,14 @@ def judge(trie: dict, host: str, path: str) -> tuple[str | None, str | None]:
     return best or (None, None)
 
 
+def checked(rules: list[Rule], max_bytes: int = MAX_BYTES) -> list[Rule]:
+    """The rules, if a trie of them may be broadcast: the same measure as for the rules of a table."""
+    total = sum(len(f"{host}{path}".encode()) + 16 for _, host, path in rules)
+    if total > max_bytes:
+        raise ValueError(f"the rules take {total} bytes; a trie of at most {max_bytes} is broadcast")
+    return rules
+
+
 def bounded_rules(rules: DataFrame, max_bytes: int = MAX_BYTES) -> list[Rule]:
     """The rules ``(verdict, host, path)`` of a table, after a check of their size."""
     size = F.sum(F.octet_length("host") + F.octet_length("path") + 16)
@@ -96,12 +104,17 @@ def bounded_rules(rules: DataFrame, max_bytes: int = MAX_BYTES) -> list[Rule]:
 
 
 def filter_urls(
-    pages: DataFrame, rules: list[Rule], default: str = ALLOW, key: str = "page_id", url: str = "url"
+    pages: DataFrame,
+    rules: list[Rule],
+    default: str = ALLOW,
+    key: str = "page_id",
+    url: str = "url",
+    max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
-    """``(key, host, path, rule, verdict)`` for every row."""
+    """``(key, host, path, rule, verdict)`` for every row. Rules of over ``max_bytes`` are an error."""
     host, path = host_and_path(F.col(url).cast("string"))
     parts = pages.select(F.col(key).alias("key"), host.alias("host"), path.alias("path"))
-    trie = pages.sparkSession.sparkContext.broadcast(build_trie(rules))
+    trie = pages.sparkSession.sparkContext.broadcast(build_trie(checked(rules, max_bytes)))
     schema = f"key {parts.schema['key'].dataType.simpleString()}, host string, path string, rule string, verdict string"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
