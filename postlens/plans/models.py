@@ -189,11 +189,10 @@ def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _same_as_before_saving(spark: SparkSession, sf_dir: str, vectorizer: PipelineModel, model: Model) -> DataFrame:
     """All documents scored with the model as it was fitted and as it was saved and loaded."""
-    posts = _posts(spark, sf_dir)
-    fitted = sc.score(posts, vectorizer, model).select("doc_id", F.col("prediction").alias("before"))
-    loaded = sc.score_saved(posts, *_saved(spark, vectorizer, model)).select("doc_id", "lang", "prediction")
-    # Both are narrow; a document has one row.
-    both = loaded.join(fitted, "doc_id")
+    posts = sc.transform(_posts(spark, sf_dir), vectorizer, model)
+    fitted = posts.select("doc_id", "lang", "body_cleaned", F.col("prediction").alias("before"))
+    # One scan: the loaded model scores the same rows, without a join.
+    both = sc.score_saved(fitted, *_saved(spark, vectorizer, model))
     return both.select(
         "doc_id", "lang", F.col("prediction").isin(0.0, 1.0).alias("valid"), (F.col("prediction") == F.col("before")).alias("same")
     )
