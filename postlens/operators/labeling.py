@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +14,27 @@ from postlens.session import materialise
 Labeler = Callable[[Sequence[str]], Sequence[str]]
 
 
+#: Texts a labeler is given at once.
+ASKED = 512
+
+
 def _ask(make_labeler: Callable[[], Labeler]) -> Callable[[Column], Column]:
-    @F.pandas_udf("string")
-    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Only the texts of one call are Python strings at a time; the rest of a batch stays in Arrow."""
+
+    @F.arrow_udf("string")
+    def ask(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         labeler = make_labeler()
         for texts in batches:
-            present = texts.notna()
-            answers = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-            if present.any():
-                answers[present] = list(labeler(texts[present].tolist()))
-            yield answers
+            answers = []
+            for start in range(0, len(texts), ASKED):
+                part = texts.slice(start, ASKED).to_pylist()
+                present = [text for text in part if text is not None]
+                given = list(labeler(present)) if present else []
+                if len(given) != len(present):
+                    raise ValueError(f"{len(given)} answers to {len(present)} texts")
+                turn = iter(given)
+                answers += [None if text is None else next(turn) for text in part]
+            yield pa.array(answers, pa.string())
 
     return ask.asNondeterministic()
 
