@@ -1,6 +1,9 @@
 """Near copies: texts whose sets of shingles have a Jaccard similarity of ``LEAST`` or more.
 
-Candidates come from min-hashes: ``BANDS`` bands of ``BAND_ROWS`` each, and texts that agree in a whole band
+Candidates come from SimHash first, by the search of ``simhash.near_links``: sets of one fingerprint meet the
+least of them, and the least sets of fingerprints within ``DISTANCE`` bits meet each other. Fingerprints of texts
+that are alike by 0.8 may be 14 bits apart, where that search no longer tells them from others; these come from
+min-hashes: ``BANDS`` bands of ``BAND_ROWS`` each, and texts that agree in a whole band
 meet. At a similarity of 0.8 a pair meets in some band with a probability of 0.9996, at 0.9 with more than
 1 - 1e-7. Every link is verified by the exact similarity of the two sets, so nothing is linked that is less
 alike.
@@ -35,11 +38,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens.llm.common import map_texts, packed, unpacked
-from postlens.llm.simhash import SEED, components
+from postlens.llm.simhash import SEED, components, near_links
 from postlens.session import materialise
 
 SHINGLE, LEAST = 5, 0.8
 BANDS, BAND_ROWS = 20, 5
+#: Bits in which two fingerprints that meet may differ.
+DISTANCE = 4
 #: Texts of one band value that meet in one go.
 BLOCK_ROWS = 1024
 #: Min-hashes in a sketch, in numbers of 32; the bands take the first of them.
@@ -55,9 +60,13 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 #: The lower bit of every lane.
 LOWER_BITS = 0x5555555555555555
 
+#: The bits of every byte, and where the counts of each of a hash's eight bytes begin.
+BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.float64)
+BYTE_PLACES = np.arange(0, 8 * 256, 256)
 
-def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
-    """The different hashes of a text's shingles, in order."""
+
+def shingle_hashes(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The hashes of a text's shingles, repeats included."""
     words = (text or b"").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
@@ -67,7 +76,22 @@ def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     width = min(shingle, len(words))
     spans = map(slice, starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())
     hashes = map(xxhash.xxh64_intdigest, map(joined.__getitem__, spans), repeat(SEED))
-    return np.unique(np.fromiter(hashes, np.uint64, len(words) - width + 1))
+    return np.fromiter(hashes, np.uint64, len(words) - width + 1)
+
+
+def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The different hashes of a text's shingles, in order."""
+    return np.unique(shingle_hashes(text, shingle))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """``simhash.fingerprint`` of a text by its shingles' hashes: the values of each byte are counted, then their bits."""
+    counts = np.zeros(8 * 256)
+    for at in range(0, len(hashes), BLOCK):
+        found = hashes[at : at + BLOCK].astype("<u8").view(np.uint8).reshape(-1, 8) + BYTE_PLACES
+        counts += np.bincount(found.ravel(), minlength=8 * 256)
+    ones = (counts.reshape(8, 256) @ BYTE_BITS).ravel()
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def band_values(hashes: np.ndarray) -> tuple[list[int], np.ndarray]:
@@ -98,19 +122,21 @@ def as_lists(values: list) -> pa.Array:
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, set, size, bands, sketch)`` of every whole text."""
+    """``(key, set, size, fp, bands, sketch)`` of every whole text."""
 
     def work(texts: list) -> list[pa.Array]:
-        sets = [shingle_set(text, shingle) for text in texts]
+        hashes = [shingle_hashes(text, shingle) for text in texts]
+        sets = [np.unique(one) for one in hashes]
         bands = [band_values(one) for one in sets]
         return [
             as_longs([set_name(one) for one in sets]),
             pa.array([len(one) for one in sets], pa.int32()),
+            as_longs([fingerprint_of(one) for one in hashes]),
             as_lists([values for values, _ in bands]),
             as_lists([sketch for _, sketch in bands]),
         ]
 
-    fields = [T.StructField("set", T.LongType()), T.StructField("size", T.IntegerType())]
+    fields = [T.StructField("set", T.LongType()), T.StructField("size", T.IntegerType()), T.StructField("fp", T.LongType())]
     lists = [T.StructField(name, T.ArrayType(T.LongType())) for name in ("bands", "sketch")]
     return map_texts(docs, key, text, T.StructType([*fields, *lists]), work)
 
@@ -161,6 +187,17 @@ def in_order(one: Column, other: Column) -> list[Column]:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
+def simhash_pairs(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``(a, b)`` with a < b: every set with the least one of its fingerprint, and these least ones with each other
+    where their fingerprints are within ``distance`` bits (in dense places as many pairs as connect them)."""
+    least = materialise(distinct.groupBy("fp").agg(F.min("set").alias("least")), "copies-fingerprints")
+    inside = distinct.join(least, "fp").filter("set <> least").select(F.col("least").alias("a"), F.col("set").alias("b"))
+    one = least.select(F.col("fp").alias("a"), F.col("least").alias("one"))
+    other = least.select(F.col("fp").alias("b"), F.col("least").alias("other"))
+    across = near_links(least.select("fp"), distance).join(one, "a").join(other, "b")
+    return inside.union(across.select(*in_order(F.col("one"), F.col("other"))))
+
+
 def leader_pairs(shared: DataFrame, distinct: DataFrame, least: float) -> DataFrame:
     """``(a, b)`` with a < b: a pair for every set, with that of its values' leaders whose sketch is most like
     its own."""
@@ -246,18 +283,20 @@ def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, least: float = LEA
     plain = rows.select(member.alias("member"), text.alias("text"))
     marked = materialise(signatures(plain, shingle, key="member"), "copies")
     distinct = marked.groupBy("set").agg(
-        F.min("member").alias("least_member"), *[F.first(name).alias(name) for name in ("size", "bands", "sketch")]
+        F.min("member").alias("least_member"), *[F.first(name).alias(name) for name in ("size", "fp", "bands", "sketch")]
     )
     distinct = materialise(distinct, "copies-distinct")
+    near = materialise(simhash_pairs(distinct), "copies-near")
     shared = materialise(shared_values(distinct), "copies-shared")
-    # Only sets that share a value are built again, from the text of their least member.
-    paired = shared.select("set").distinct()
+    # Only sets that meet another are built again, from the text of their least member.
+    paired = shared.select("set").union(near.select("a")).union(near.select("b")).distinct()
     wanted = materialise(distinct.join(paired, "set").select("set", F.to_json("least_member").alias("name")), "copies-wanted")
     chosen = plain.withColumn("name", F.to_json("member")).join(wanted.select("name").distinct(), "name", "left_semi")
     # Rows that repeat an id and its text are built once; the join has brought them together.
     chosen = chosen.withColumn("mark", F.xxhash64("text")).dropDuplicates(["name", "mark"])
     sets = materialise(shingle_sets(chosen, shingle, key="name").select("set", "shingles"), "copies-sets")
-    links = materialise(verified(leader_pairs(shared, distinct, least), sets, least).distinct(), "copies-links")
+    pairs = near.union(leader_pairs(shared, distinct, least)).distinct()
+    links = materialise(verified(pairs, sets, least).distinct(), "copies-links")
     roots = materialise(components(links), "copies-roots")
     more = materialise(open_links(shared, distinct, sets, roots, least), "copies-more")
     roots = materialise(components(links.union(more)), "copies-roots")
