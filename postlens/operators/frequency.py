@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlens.functions.grams import run_counter
 from postlens.functions.text import is_any
 
 
@@ -91,6 +92,32 @@ def token_statistics(
     )
 
 
+def gram_statistics(
+    df: DataFrame,
+    tokens: str,
+    sizes: Iterable[int],
+    counted: Column | None = None,
+    sep: str = " ",
+    stopwords: Iterable[str] = (),
+) -> DataFrame:
+    """``(token, n, freq, df)`` of the runs of n tokens, for each n of ``sizes``: ``freq`` over the counted rows and
+    ``df`` over all rows, in one scan and one shuffle. A run that holds a null or a stop word is left out.
+
+    Runs are counted piece by piece inside the scan (``functions/grams.py``), so a hot run is one row per piece.
+    Most runs are rare and a map task's table of them would grow with its split while saving few rows, so the
+    pieces are shuffled as they are and summed up behind.
+    """
+    if min(sizes) < 1:
+        raise ValueError("n must be at least 1")
+    counted = F.lit(True) if counted is None else F.coalesce(counted, F.lit(False))
+    lists = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+    pieces = df.select(lists.alias("tokens"), counted.alias("counted")).mapInArrow(
+        run_counter(sizes, sep, stopwords), "token string, n int, freq long, df long"
+    )
+    dealt = pieces.repartition("token", "n")
+    return dealt.groupBy("token", "n").agg(F.sum("freq").alias("freq"), F.sum("df").alias("df"))
+
+
 def corpus_tfidf(
     df: DataFrame,
     tokens: Column | str,
@@ -104,9 +131,27 @@ def corpus_tfidf(
     The frequency may be taken over some rows only, the IDF always over all. A token below ``min_df``
     keeps its frequency and has a null IDF, as a left join of the two tables gives.
     """
-    stats = token_statistics(df, tokens, counted, stopwords).filter(F.col("freq") >= min_freq)
-    idf = F.when(F.col("df") >= min_df, corpus_idf(document_count(df), F.col("df")))
-    return stats.select("token", "freq", idf.alias("idf")).withColumn("tfidf", F.col("freq") * F.col("idf"))
+    return _tfidf(token_statistics(df, tokens, counted, stopwords), document_count(df), min_freq, min_df)
+
+
+def gram_tfidf(
+    df: DataFrame,
+    tokens: str,
+    n: int,
+    counted: Column | None = None,
+    min_freq: int = 2,
+    min_df: int = 2,
+    stopwords: Iterable[str] = (),
+) -> DataFrame:
+    """``corpus_tfidf`` of the runs of n tokens of which none is a stop word."""
+    stats = gram_statistics(df, tokens, [n], counted, stopwords=stopwords)
+    return _tfidf(stats, document_count(df), min_freq, min_df)
+
+
+def _tfidf(stats: DataFrame, documents: Column, min_freq: int, min_df: int) -> DataFrame:
+    idf = F.when(F.col("df") >= min_df, corpus_idf(documents, F.col("df")))
+    kept = stats.filter(F.col("freq") >= min_freq).select("token", "freq", idf.alias("idf"))
+    return kept.withColumn("tfidf", F.col("freq") * F.col("idf"))
 
 
 def join_tfidf(freq: DataFrame, idf: DataFrame) -> DataFrame:

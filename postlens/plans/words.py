@@ -183,7 +183,8 @@ SELECT token, freq, round(idf, 6) AS idf, round(freq * idf, 6) AS tfidf FROM idf
 def tfidf_bigram_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequencies of the flagged documents against the IDF of all, in one pass over the texts."""
     rows = with_flag(_letters(spark, sf_dir), spark, sf_dir)
-    return _rounded(fq.corpus_tfidf(rows, _grams(2), F.col("is_flagged"), min_df=10), "idf", "tfidf")
+    scores = fq.gram_tfidf(rows, "letters", 2, F.col("is_flagged"), min_df=10, stopwords=ENGLISH)
+    return _rounded(scores, "idf", "tfidf")
 
 
 @query(f"""
@@ -192,7 +193,7 @@ counts AS (SELECT token, count(*) AS freq, count(DISTINCT doc_id) AS df FROM gra
 idfs AS (SELECT token, freq, CASE WHEN df >= 10 THEN ln((SELECT count(*) FROM documents) / df) + 0.1 END AS idf FROM counts)
 SELECT token, freq, round(idf, 6) AS idf, round(freq * idf, 6) AS tfidf FROM idfs""")
 def tfidf_trigram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(fq.corpus_tfidf(_letters(spark, sf_dir), _grams(3), min_df=10), "idf", "tfidf")
+    return _rounded(fq.gram_tfidf(_letters(spark, sf_dir), "letters", 3, min_df=10, stopwords=ENGLISH), "idf", "tfidf")
 
 
 @query(f"""
