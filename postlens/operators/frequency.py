@@ -168,19 +168,14 @@ def union_idf(tables: dict[int, DataFrame]) -> DataFrame:
     return union
 
 
-def sized_idf(df: DataFrame, tokens: dict[int, tuple[Column, int]]) -> DataFrame:
-    """The IDF of several n-gram sizes in one pass over the rows, as ``(token, n, df, idf)``; ``tokens``
-    maps a size to its tokens and the least document frequency."""
-    def rows(n: int, of: Column) -> Column:
-        return F.transform(F.array_distinct(of), lambda token: F.struct(token.alias("token"), F.lit(n).alias("n")))
-
-    parts = [rows(n, of) for n, (of, _) in sorted(tokens.items())]
-    seen = df.select(F.inline(F.concat(*parts)))
+def sized_idf(df: DataFrame, tokens: str, min_df: dict[int, int], stopwords: Iterable[str] = ()) -> DataFrame:
+    """The IDF of several n-gram sizes in one pass over the rows, as ``(token, n, df, idf)``; ``min_df`` maps a
+    size to the least document frequency."""
     least = F.lit(None).cast("long")
-    for n, (_, min_df) in tokens.items():
-        least = F.when(F.col("n") == n, min_df).otherwise(least)
-    counts = seen.groupBy("token", "n").agg(F.count("*").alias("df")).filter(F.col("df") >= least)
-    return counts.withColumn("idf", corpus_idf(document_count(df), F.col("df")))
+    for n, rows in min_df.items():
+        least = F.when(F.col("n") == n, rows).otherwise(least)
+    counts = gram_statistics(df, tokens, min_df, stopwords=stopwords).filter(F.col("df") >= least)
+    return counts.select("token", "n", "df", corpus_idf(document_count(df), F.col("df")).alias("idf"))
 
 
 def spark_ml_idf(df: DataFrame, tokens: Column | str, min_doc_freq: int = 5) -> DataFrame:

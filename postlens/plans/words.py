@@ -30,10 +30,6 @@ from postlens.session import materialise, scratch_path
 FLAGGED_SQL = "(SELECT doc_id FROM labels WHERE toxic = 1)"
 
 
-def _grams(n: int) -> Column:
-    return tx.ngrams(F.col("letters"), n, stopwords=ENGLISH)
-
-
 def _letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as lower-case letter tokens; the text itself goes no further."""
     letters = tx.prepare(F.col("text"), [F.lower, tx.letter_tokens])
@@ -204,8 +200,7 @@ counts AS (
   SELECT token, 2 AS n, count(DISTINCT doc_id) AS df FROM grams GROUP BY token HAVING count(DISTINCT doc_id) >= 10)
 SELECT token, n, df, {IDF_SQL} AS idf FROM counts""")
 def idf_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = tx.drop_stopwords(F.col("letters"), ENGLISH, lowered=True)
-    return _rounded(fq.sized_idf(_letters(spark, sf_dir), {1: (words, 2), 2: (_grams(2), 10)}), "idf")
+    return _rounded(fq.sized_idf(_letters(spark, sf_dir), "letters", {1: 2, 2: 10}, ENGLISH), "idf")
 
 
 @query(f"""
