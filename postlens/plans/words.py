@@ -178,7 +178,11 @@ idfs AS (SELECT token, freq, CASE WHEN df >= 10 THEN ln((SELECT count(*) FROM do
 SELECT token, freq, round(idf, 6) AS idf, round(freq * idf, 6) AS tfidf FROM idfs""")
 def tfidf_bigram_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequencies of the flagged documents against the IDF of all, in one pass over the texts."""
-    rows = with_flag(_letters(spark, sf_dir), spark, sf_dir)
+    # No token holds a space, and a row of joined tokens is far smaller than their array, if the join shuffles it.
+    joined = _letters(spark, sf_dir).select("doc_id", F.array_join("letters", " ").alias("joined"))
+    flagged = with_flag(joined, spark, sf_dir)
+    letters = F.when(F.col("joined") != "", F.split("joined", " "))
+    rows = flagged.select(letters.alias("letters"), "is_flagged")
     scores = fq.gram_tfidf(rows, "letters", 2, F.col("is_flagged"), min_df=10, stopwords=ENGLISH)
     return _rounded(scores, "idf", "tfidf")
 
