@@ -4,7 +4,8 @@ A tree of depth 10 holds that of depth 5: nodes are split level by level, and a
 only. The first five trees of a boosted model are those of one with five iterations, and any trees of a forest
 are a forest. So of the cells that differ in such parameters only the largest is fitted; the others are read off
 it. For single trees and boosted ones these are the very models that a fit of the cell gives; a forest's are drawn
-from the same distribution, as from another seed. The estimator's own ``fit`` is untouched.
+from the same distribution, as from another seed. The ``fit`` of single trees and forests is Spark's own; boosted trees
+are fitted column by column (``boosting``).
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from postlens.learning.boosting import Dealt, boost, fits
 from postlens.session import scratch_path
 
 LEAF = "_leaf"
@@ -151,6 +153,52 @@ class NestedForest(RandomForestClassifier):
         return Cells(self, dataset, paramMaps, ["numTrees", "maxDepth"])
 
 
+class SharedColumns:
+    """The columns of one frame, made by the first fit that asks and dropped behind the last."""
+
+    def __init__(self, df: DataFrame):
+        self.df, self.dealt, self.lock = df, None, threading.Lock()
+
+    def of(self, df: DataFrame, *key) -> Dealt:
+        if df is not self.df:
+            return Dealt(df, *key)
+        with self.lock:
+            if self.dealt is None or self.dealt.key != key:
+                self.dealt = Dealt(df, *key)
+            return self.dealt
+
+    def close(self) -> None:
+        if self.dealt is not None:
+            self.dealt.close()
+
+
+class BoostedCells(Cells):
+    def grow(self, kind: tuple) -> tuple[Model, list]:
+        grown = super().grow(kind)
+        if len(self.grown) + 1 == len(self.fitting):
+            self.estimator.columns.close()
+        return grown
+
+
 class NestedBoosting(GBTClassifier):
+    """Boosted trees, fitted on columns; weighted, sampled or categorical rows go to Spark's own fit."""
+
+    columns: SharedColumns | None = None
+
+    def _fit(self, dataset: DataFrame) -> GBTClassificationModel:
+        if not fits(self, dataset):
+            return super()._fit(dataset)
+        shared = self.columns is not None and self.columns.df is dataset
+        key = self.getLabelCol(), self.getFeaturesCol(), self.getMaxBins()
+        dealt = self.columns.of(dataset, *key) if shared else Dealt(dataset, *key)
+        try:
+            # Labels that are no classes are Spark's to refuse.
+            return self._copyValues(boost(self, dealt)) if dealt.usable() else super()._fit(dataset)
+        finally:
+            if not shared:
+                dealt.close()
+
     def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[Mapping]) -> Cells:
-        return Cells(self, dataset, paramMaps, ["maxIter"])
+        estimator = self.copy()
+        estimator.columns = SharedColumns(dataset)
+        return BoostedCells(estimator, dataset, paramMaps, ["maxIter"])

@@ -46,7 +46,8 @@ def vectorised(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFra
 
 
 def tree_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The same features, with the train rows dealt to tasks that trees can be fitted in."""
+    """The same features, with the train rows dealt to tasks that trees can be fitted in. Boosted trees deal them
+    themselves."""
     _, train, test = vectorised(spark, sf_dir)
     return cf.spread(train, "doc_id"), test
 
@@ -62,7 +63,8 @@ def wrong_predictions() -> Column:
 def _train(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Facts that must hold for any model: the rows it learned from and scored, valid predictions, and
     metrics that agree with the confusion cells of the stored predictions."""
-    train, test = vectorised(spark, sf_dir)[1:] if name == "logistic_regression" else tree_features(spark, sf_dir)
+    dense = name in ("decision_tree", "random_forest")
+    train, test = tree_features(spark, sf_dir) if dense else vectorised(spark, sf_dir)[1:]
     model = cf.make_classifier(name).fit(train)
     scored = model.transform(test).select("doc_id", "label", "prediction", "rawPrediction", "probability")
     scored = materialise(scored, "scored")
@@ -111,10 +113,11 @@ def train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _search(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One row per parameter of each grid cell; scores lie between 0 and 1 and the best is the highest."""
-    train, _ = vectorised(spark, sf_dir)[1:] if name == "lr" else tree_features(spark, sf_dir)
+    train, _ = vectorised(spark, sf_dir)[1:] if name in ("lr", "gbt") else tree_features(spark, sf_dir)
     # Fits of trees that each fill the memory run one after the other.
-    at_once = 3 if name == "lr" or cf.task_rounds(train) == 1 else 1
-    scores = cf.grid_scores(cf.cross_validate(train, name, key="doc_id", parallelism=at_once), train)
+    at_once = 3 if name in ("lr", "gbt") or cf.task_rounds(train) == 1 else 1
+    found = cf.cross_validate(train, name, key="doc_id", parallelism=at_once, folds_at_once=name == "gbt")
+    scores = cf.grid_scores(found, train)
     highest = scores.agg(F.max("mean_score")).first()[0]
     return scores.select(
         "cell",
